@@ -34,10 +34,18 @@ def min_elevation(
     raise ValueError(f"method must be 'groupby' or 'window', not {method!r}")
 
 
-def with_elevation(places: DataFrame, lowest: DataFrame) -> DataFrame:
-    """Places with the lowest elevation of their cell; places without samples go."""
-    sizes = places.groupBy("cell").agg(F.count("*").alias("n"))
-    return spread_join(places, lowest, ["cell"], "id", sizes)
+def with_elevation(places: DataFrame, lowest: DataFrame, method: str = "spread") -> DataFrame:
+    """Places with the lowest elevation of their cell; places without samples go.
+
+    ``spread`` cuts cells with many places into parts. ``bucketed`` is for two tables
+    stored in the same buckets of the cell, which meet without a shuffle.
+    """
+    if method == "spread":
+        sizes = places.groupBy("cell").agg(F.count("*").alias("n"))
+        return spread_join(places, lowest, ["cell"], "id", sizes)
+    if method == "bucketed":
+        return places.join(lowest, "cell")
+    raise ValueError(f"method must be 'spread' or 'bucketed', not {method!r}")
 
 
 def at_rises(elevated: DataFrame, rises: list[int]) -> DataFrame:

@@ -9,17 +9,8 @@ SHARES = 1000
 MIN_ROWS = 100_000
 
 
-def heavy_keys(
-    sizes: DataFrame, keys: list[str], shares: int = SHARES, min_rows: int = MIN_ROWS
-) -> DataFrame:
-    """The keys above 1/``shares`` of all rows, with the number of parts each is cut in.
-
-    ``sizes`` has the keys and their number of rows ``n``. At most ``shares`` keys can
-    each own more than 1/``shares`` of the rows, so the result has a fixed bound, and
-    so has the sum of its ``parts`` (2 x ``shares``).
-    """
-    total = sizes.agg(F.sum("n").cast("double"))
-    share = F.greatest(total.scalar() / F.lit(float(shares)), F.lit(float(min_rows)))
+def heavy_keys(sizes: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """The keys with more than ``share`` rows, and the number of parts each is cut in."""
     return sizes.filter(F.col("n") > share).select(
         *keys, F.ceil(F.col("n") / share).cast("int").alias("parts")
     )
@@ -37,12 +28,20 @@ def spread_join(
 ) -> DataFrame:
     """``rows`` joined with ``lookup``, which has at most one row per key.
 
-    The rows of a heavy key are cut into parts by a hash of ``spread_by`` (stable, so a
-    repeated task sends each row to the same part), and the heavy keys of the lookup
-    are copied once per part. Only the list of heavy keys is broadcast; its size is
-    bounded by ``shares``. All other keys take a plain shuffled join.
+    ``sizes`` has the keys of ``rows`` and their number of rows ``n``. It is summed up
+    right away; with no more than ``min_rows`` rows in all, no key can be heavy and the
+    join is a plain one.
+
+    Otherwise a key with more than 1/``shares`` of all rows is heavy. Its rows are cut
+    into parts by a hash of ``spread_by`` (stable, so a repeated task sends each row to
+    the same part), and its lookup row is copied once per part. At most ``shares`` keys
+    can each own more than 1/``shares`` of the rows, so the list of heavy keys, which is
+    all that is broadcast, has a fixed bound, and so has the number of copies.
     """
-    heavy = F.broadcast(heavy_keys(sizes, keys, shares, min_rows))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    if total <= min_rows:
+        return rows.join(lookup, keys, how)
+    heavy = F.broadcast(heavy_keys(sizes, keys, max(total / shares, min_rows)))
     part = F.pmod(F.xxhash64(spread_by), F.coalesce("parts", F.lit(1))).cast("int")
     spread = rows.join(heavy, keys, "left").withColumn("part", part).drop("parts")
     copies = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,10 +43,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute a frame once and keep it in the shared folder.
+    """Compute a frame once and keep it as a table in the shared folder.
 
-    For a frame that is read several times: its lineage is cut, so neither a second
-    reader nor a lost executor computes it again.
+    For a frame that is read several times. Its lineage is cut: neither a second reader
+    nor a lost executor computes it again. A later step reads only the columns it needs,
+    and Spark knows the true size of the table when it picks a join.
+
+    The tables of an application lie together in one folder, to be deleted after it.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

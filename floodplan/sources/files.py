@@ -71,7 +71,15 @@ def write_destinations(change: DataFrame, path: str) -> None:
     change.write.mode("overwrite").orc(path)
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "cell") -> DataFrame:
-    """Store a table in sorted buckets of a key, so that later joins on it need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+def write_bucketed(
+    df: DataFrame, table: str, buckets: int, path: str | None = None, key: str = "cell"
+) -> DataFrame:
+    """Store a table in sorted buckets of a key, so that later joins on it need no shuffle.
+
+    Rows go to the task of their bucket first, so each bucket is one file.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
     return df.sparkSession.table(table)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -53,11 +55,26 @@ def encode_updates(updates: DataFrame) -> DataFrame:
     return updates.select(F.col("city_id").cast("string").alias("key"), value, *rest)
 
 
+@dataclass
+class City:
+    """What is known of one city: the content of its value state."""
+
+    name: str
+    refugees: int
+    change: int
+    timer_ms: int
+    slots: list[int]
+
+
+PENDING = ("at_ms", "event_id", "refugees")
+
+
 class RefugeeTracker(StatefulProcessor):
     """Per city the total of all arrivals and the sum of those in the trailing window.
 
     State is a city's name, total and change, and what has yet to leave the window,
-    grouped in slots of time. A batch reads only the slots that fall due in it.
+    grouped in slots of time. A batch reads only the slots that fall due in it and
+    writes only those it adds to.
     """
 
     def __init__(self, window_seconds: int, time_mode: str):
@@ -67,8 +84,10 @@ class RefugeeTracker(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.city = handle.getValueState(
-            "city", "city_name string, refugees bigint, change bigint, timer_ms bigint"
+        self.known = handle.getValueState(
+            "city",
+            "city_name string, refugees bigint, change bigint, timer_ms bigint, "
+            "slots array<bigint>",
         )
         self.pending = handle.getMapState(
             "pending",
@@ -79,55 +98,55 @@ class RefugeeTracker(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         arrived = pd.concat(list(rows), ignore_index=True)
         if self.time_mode == PROCESSING_TIME:
-            now = timerValues.getCurrentProcessingTimeInMs()
-            arrived["at_ms"] = now
+            arrived["at_ms"] = timerValues.getCurrentProcessingTimeInMs()
         arrived = arrived.sort_values(["at_ms", "event_id"], kind="stable")
-        name, total, change, timer = self.city.get() if self.city.exists() else ("", 0, 0, -1)
-        leaving = arrived[["at_ms", "event_id", "refugees"]].copy()
-        leaving["at_ms"] += self.window_ms
+        stored = self.known.get()
+        city = City(*stored[:4], list(stored[4])) if stored else City("", 0, 0, -1, [])
+        leaving = arrived[list(PENDING)].assign(at_ms=arrived["at_ms"] + self.window_ms)
         until = int(arrived["at_ms"].iloc[-1])
         # An arrival may leave again within the same batch.
         at_once = leaving["at_ms"] <= until
-        due = pd.concat([self._take_due(until), leaving[at_once]], ignore_index=True)
-        self._keep(leaving[~at_once])
+        due = pd.concat([self._take_due(city, until), leaving[at_once]], ignore_index=True)
+        self._keep(city, leaving[~at_once])
         moves = pd.concat(
             [
                 due.assign(arrival=0, city_name=None),
-                arrived[["at_ms", "event_id", "refugees", "city_name"]].assign(arrival=1),
+                arrived[[*PENDING, "city_name"]].assign(arrival=1),
             ],
             ignore_index=True,
-        ).sort_values(["at_ms", "arrival", "event_id"], kind="stable")
-        yield from self._apply(key, moves, name, total, change, timer)
+        )
+        yield from self._apply(key, city, moves)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.city.exists():
+        stored = self.known.get()
+        if not stored:
             return
-        until = (
-            timerValues.getCurrentWatermarkInMs()
-            if self.time_mode == EVENT_TIME
-            else timerValues.getCurrentProcessingTimeInMs()
-        )
-        name, total, change, timer = self.city.get()
-        if timer == expiredTimerInfo.getExpiryTimeInMs():
-            timer = -1
-        due = self._take_due(until).sort_values(["at_ms", "event_id"], kind="stable")
-        yield from self._apply(
-            key, due.assign(arrival=0, city_name=None), name, total, change, timer
-        )
+        city = City(*stored[:4], list(stored[4]))
+        if city.timer_ms == expiredTimerInfo.getExpiryTimeInMs():
+            city.timer_ms = -1
+        if self.time_mode == PROCESSING_TIME:
+            until = timerValues.getCurrentProcessingTimeInMs()
+        else:
+            until = timerValues.getCurrentWatermarkInMs()
+        due = self._take_due(city, until)
+        yield from self._apply(key, city, due.assign(arrival=0, city_name=None))
 
     def close(self) -> None:
         """Nothing to do: the checkpoint owns the state."""
 
-    def _apply(self, key, moves, name, total, change, timer) -> Iterator[pd.DataFrame]:
-        """Emit one update per move, store what comes of them and set the next timer."""
+    def _apply(self, key, city: City, moves: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Emit one update per move and store what comes of them."""
+        moves = moves.sort_values(["at_ms", "arrival", "event_id"], kind="stable")
         amounts = moves["refugees"].to_numpy("int64")
         arrival = moves["arrival"].to_numpy("int32")
-        names = moves["city_name"].ffill().fillna(name)
-        totals = total + np.cumsum(np.where(arrival == 1, amounts, 0))
-        changes = change + np.cumsum(np.where(arrival == 1, amounts, -amounts))
+        names = moves["city_name"].astype(object).ffill().fillna(city.name)
+        totals = city.refugees + np.cumsum(np.where(arrival == 1, amounts, 0))
+        changes = city.change + np.cumsum(np.where(arrival == 1, amounts, -amounts))
         if len(moves):
-            name, total, change = names.iloc[-1], int(totals[-1]), int(changes[-1])
-        self.city.update((name, total, change, self._set_timer(timer)))
+            city.name = names.iloc[-1]
+            city.refugees, city.change = int(totals[-1]), int(changes[-1])
+        self._set_timer(city)
+        self.known.update((city.name, city.refugees, city.change, city.timer_ms, city.slots))
         if len(moves):
             yield pd.DataFrame(
                 {
@@ -141,43 +160,41 @@ class RefugeeTracker(StatefulProcessor):
                 }
             )
 
-    def _slots(self) -> list[int]:
-        return sorted(slot for (slot,) in self.pending.keys())
-
-    def _keep(self, leaving: pd.DataFrame) -> None:
+    def _keep(self, city: City, leaving: pd.DataFrame) -> None:
+        """Add to the slots what has yet to leave."""
         for slot, rows in leaving.groupby(leaving["at_ms"] // self.slot_ms):
-            columns = [rows[c].tolist() for c in ("at_ms", "event_id", "refugees")]
             key = (int(slot),)
-            if self.pending.containsKey(key):
+            columns = [rows[c].tolist() for c in PENDING]
+            if slot in city.slots:
                 columns = [list(a) + b for a, b in zip(self.pending.getValue(key), columns)]
+            else:
+                bisect.insort(city.slots, key[0])
             self.pending.updateValue(key, tuple(columns))
 
-    def _take_due(self, until: int) -> pd.DataFrame:
+    def _take_due(self, city: City, until: int) -> pd.DataFrame:
         """Remove and return what leaves the window up to a time."""
-        taken = [pd.DataFrame({"at_ms": [], "event_id": [], "refugees": []}, dtype="int64")]
-        for slot in self._slots():
-            if slot * self.slot_ms > until:
-                break
-            key = (slot,)
-            columns = zip(("at_ms", "event_id", "refugees"), self.pending.getValue(key))
+        taken = [pd.DataFrame({c: [] for c in PENDING}, dtype="int64")]
+        while city.slots and city.slots[0] * self.slot_ms <= until:
+            key = (city.slots.pop(0),)
+            columns = zip(PENDING, self.pending.getValue(key))
             rows = pd.DataFrame({c: np.asarray(v, "int64") for c, v in columns})
             due = rows["at_ms"] <= until
             taken.append(rows[due])
             self.pending.removeKey(key)
             if not due.all():
-                self._keep(rows[~due])
+                self._keep(city, rows[~due])
+                break
         return pd.concat(taken, ignore_index=True)
 
-    def _set_timer(self, timer: int) -> int:
+    def _set_timer(self, city: City) -> None:
         """Keep one timer per city, for the first that has yet to leave."""
-        slots = self._slots()
-        first = min(self.pending.getValue((slots[0],))[0]) if slots else -1
-        if first != timer:
-            if timer >= 0:
-                self.handle.deleteTimer(timer)
+        first = int(min(self.pending.getValue((city.slots[0],))[0])) if city.slots else -1
+        if first != city.timer_ms:
+            if city.timer_ms >= 0:
+                self.handle.deleteTimer(city.timer_ms)
             if first >= 0:
                 self.handle.registerTimer(first)
-        return first
+            city.timer_ms = first
 
 
 def track_refugees(

@@ -153,10 +153,10 @@ STEPS["plan_ring"] = _plan("options_ring")
 STEPS["plan_id"] = _plan("options_id")
 STEPS["plan_minus_one"] = _plan("options_ring", "true")
 STEPS["moves"] = f"""
-    SELECT city_id, city_name, event_id, epoch_ms(ts) AS at_ms, 1 AS arrival, refugees
+    SELECT city_id, city_name, event_id, epoch_us(ts) // 1000 AS at_ms, 1 AS arrival, refugees
     FROM refugee_events
     UNION ALL
-    SELECT city_id, city_name, event_id, epoch_ms(ts) + {WINDOW_SECONDS * 1000}, 0, refugees
+    SELECT city_id, city_name, event_id, epoch_us(ts) // 1000 + {WINDOW_SECONDS * 1000}, 0, refugees
     FROM refugee_events"""
 STEPS["updates"] = """
     SELECT city_id, city_name, at_ms, arrival, event_id,
@@ -256,8 +256,8 @@ FINAL = {
         SELECT f.* FROM flooded f WHERE flood_id NOT IN (
           SELECT flood_id FROM city_pairs WHERE rise = {RISE} AND rough_distance <= 1)""",
     "tracker_batch": f"SELECT {MOVE_COLUMNS} FROM updates",
-    "tracker_stream": f"SELECT {MOVE_COLUMNS} FROM updates WHERE at_ms <= "
-    "(SELECT max(epoch_ms(ts)) FROM refugee_events)",
+    "tracker_stream": f"SELECT {MOVE_COLUMNS} FROM updates "
+    "WHERE arrival = 1 OR at_ms < (SELECT max(epoch_us(ts) // 1000) FROM refugee_events)",
     "updates_json": """
         SELECT CAST(city_id AS VARCHAR) AS key, city_id, city_name, refugees, change, at_ms,
           arrival, event_id FROM updates""",
