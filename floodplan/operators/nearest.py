@@ -207,10 +207,25 @@ def _same(a: str, b: str, columns: list[str]) -> str:
     return " AND ".join(f"{a}.{c} = {b}.{c}" for c in columns)
 
 
+def _best_of_kind(kind: str, max_distance: int | None) -> str:
+    """The nearest target of a kind, ties by id, as a struct; NULL if there is none."""
+    distance = _closest("f", "n")
+    reached = f"kind = '{kind}'"
+    if max_distance is not None:
+        reached += f" AND {distance} <= {max_distance}"
+    best = f"struct(CAST({distance} AS INT) AS distance, target)"
+    return f"min(CASE WHEN {reached} THEN {best} END) AS {kind}"
+
+
 def _descend(
-    seeds: DataFrame, flood_cells: DataFrame, target_cells: DataFrame, scope: list[str], res: int
+    seeds: DataFrame,
+    flood_cells: DataFrame,
+    target_cells: DataFrame,
+    targets: dict[str, Target],
+    scope: list[str],
+    res: int,
 ) -> DataFrame:
-    """(scope, flood_group, cell, kind, distance, target) of the nearest target."""
+    """Per (scope, flood_group, cell) the nearest target of each kind."""
     flood_by, target_by = [*scope, "flood_group"], [*scope, "kind", "target_group"]
     groups = [*scope, "kind", "flood_group", "target_group"]
     state = seeds.selectExpr(
@@ -250,25 +265,20 @@ def _descend(
             .join(flood.alias("f"), F.expr(on_flood))
             .where(f"{_closest('f', 'n')} <= bound")
         )
-        kept = [f"n.{c}" for c in groups]
         if last:
-            best = f"min(struct({_closest('f', 'n')} AS distance, target)) AS best"
-            return (
-                pairs.groupBy(*kept[:-1], "flood_parent", "f.block")
-                .agg(F.expr(best))
-                .selectExpr(
-                    *groups[:-1],
-                    "block AS cell",
-                    "CAST(best.distance AS INT) AS distance",
-                    "best.target AS target",
-                )
-            )
+            bests = [
+                F.expr(_best_of_kind(kind, target.search.max_distance))
+                for kind, target in targets.items()
+            ]
+            # All kinds of a cell lie together already: one row per cell, no shuffle.
+            found = pairs.groupBy(*[f"n.{c}" for c in flood_by], "flood_parent", "f.block")
+            return found.agg(*bests).selectExpr(*flood_by, "block AS cell", *targets)
         # The children's own bound prunes the rest. All candidates of a flooded parent
         # lie together after the join, so the window needs no shuffle of its own.
         own = ", ".join([*groups[:-1], "flood_parent", "flood_block"])
         state = (
             pairs.selectExpr(
-                *kept,
+                *[f"n.{c}" for c in groups],
                 "flood_parent",
                 "f.block AS flood_block",
                 "target_block",
@@ -311,14 +321,7 @@ def nearest_targets(
     flood_cells = settle(rows.groupBy(*keys).agg(F.count("*").alias("n")))
     target_cells = settle(_target_cells(targets, scope))
     seeds = _seeds(flood_cells, target_cells, targets, scope)
-    found = _descend(seeds, flood_cells, target_cells, scope, res)
-    kinds = []
-    for kind, target in targets.items():
-        reached = F.col("kind") == kind
-        if target.search.max_distance is not None:
-            reached = reached & (F.col("distance") <= target.search.max_distance)
-        kinds.append(F.min(F.when(reached, F.struct("distance", "target"))).alias(kind))
-    per_cell = found.groupBy(*keys).agg(*kinds)
+    per_cell = _descend(seeds, flood_cells, target_cells, targets, scope, res)
     return spread_join(rows, per_cell, keys, "flood_id", flood_cells, "left").drop("flood_group")
 
 

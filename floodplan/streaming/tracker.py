@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import bisect
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -21,8 +21,13 @@ UPDATES = (
 )
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# A window is cut into this many slots; what leaves it in one slot is one state entry.
+# A window is cut into this many slots of time, and what leaves it in one slot into
+# chunks of at most so many rows, each one state entry.
 SLOTS = 64
+CHUNK_ROWS = 10_000
+# A chunk's key is its slot and, in the lower bits, its number in the slot.
+CHUNK_BITS = 20
+PENDING = ("at_ms", "event_id", "refugees")
 EVENT_TIME, PROCESSING_TIME = "EventTime", "ProcessingTime"
 
 
@@ -57,41 +62,45 @@ def encode_updates(updates: DataFrame) -> DataFrame:
 
 @dataclass
 class City:
-    """What is known of one city: the content of its value state."""
-
-    name: str
-    refugees: int
-    change: int
-    timer_ms: int
-    slots: list[int]
+    """What is known of one city: the content of its value state.
 
+    What has yet to leave the window lies in chunks, in order of slot; ``firsts`` has
+    the time at which the first of each chunk leaves.
+    """
 
-PENDING = ("at_ms", "event_id", "refugees")
+    name: str = ""
+    refugees: int = 0
+    change: int = 0
+    timer_ms: int = -1
+    chunks: list[int] = field(default_factory=list)
+    firsts: list[int] = field(default_factory=list)
 
 
 class RefugeeTracker(StatefulProcessor):
     """Per city the total of all arrivals and the sum of those in the trailing window.
 
     State is a city's name, total and change, and what has yet to leave the window,
-    grouped in slots of time. A batch reads only the slots that fall due in it and
-    writes only those it adds to.
+    in slots of time that are cut into chunks of limited size. A batch reads the chunks
+    that fall due in it and rewrites only the last ones of the slots it adds to, so the
+    work of a batch grows with its rows, not with the rows in the window.
     """
 
-    def __init__(self, window_seconds: int, time_mode: str):
+    def __init__(self, window_seconds: int, time_mode: str, chunk_rows: int = CHUNK_ROWS):
         self.window_ms = check_window(window_seconds) * 1000
         self.slot_ms = max(1, self.window_ms // SLOTS)
         self.time_mode = time_mode
+        self.chunk_rows = chunk_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.known = handle.getValueState(
             "city",
             "city_name string, refugees bigint, change bigint, timer_ms bigint, "
-            "slots array<bigint>",
+            "chunks array<bigint>, firsts array<bigint>",
         )
         self.pending = handle.getMapState(
             "pending",
-            "slot bigint",
+            "chunk bigint",
             "at_ms array<bigint>, event_id array<bigint>, refugees array<bigint>",
         )
 
@@ -100,8 +109,7 @@ class RefugeeTracker(StatefulProcessor):
         if self.time_mode == PROCESSING_TIME:
             arrived["at_ms"] = timerValues.getCurrentProcessingTimeInMs()
         arrived = arrived.sort_values(["at_ms", "event_id"], kind="stable")
-        stored = self.known.get()
-        city = City(*stored[:4], list(stored[4])) if stored else City("", 0, 0, -1, [])
+        city = self._city() or City()
         leaving = arrived[list(PENDING)].assign(at_ms=arrived["at_ms"] + self.window_ms)
         until = int(arrived["at_ms"].iloc[-1])
         # An arrival may leave again within the same batch.
@@ -118,10 +126,9 @@ class RefugeeTracker(StatefulProcessor):
         yield from self._apply(key, city, moves)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        stored = self.known.get()
-        if not stored:
+        city = self._city()
+        if city is None:
             return
-        city = City(*stored[:4], list(stored[4]))
         if city.timer_ms == expiredTimerInfo.getExpiryTimeInMs():
             city.timer_ms = -1
         if self.time_mode == PROCESSING_TIME:
@@ -134,6 +141,10 @@ class RefugeeTracker(StatefulProcessor):
     def close(self) -> None:
         """Nothing to do: the checkpoint owns the state."""
 
+    def _city(self) -> City | None:
+        stored = self.known.get()
+        return City(*stored[:4], list(stored[4]), list(stored[5])) if stored else None
+
     def _apply(self, key, city: City, moves: pd.DataFrame) -> Iterator[pd.DataFrame]:
         """Emit one update per move and store what comes of them."""
         moves = moves.sort_values(["at_ms", "arrival", "event_id"], kind="stable")
@@ -146,7 +157,7 @@ class RefugeeTracker(StatefulProcessor):
             city.name = names.iloc[-1]
             city.refugees, city.change = int(totals[-1]), int(changes[-1])
         self._set_timer(city)
-        self.known.update((city.name, city.refugees, city.change, city.timer_ms, city.slots))
+        self.known.update(astuple(city))
         if len(moves):
             yield pd.DataFrame(
                 {
@@ -160,35 +171,49 @@ class RefugeeTracker(StatefulProcessor):
                 }
             )
 
+    def _read(self, chunk: int) -> pd.DataFrame:
+        columns = zip(PENDING, self.pending.getValue((chunk,)))
+        return pd.DataFrame({name: np.asarray(values, "int64") for name, values in columns})
+
+    def _write(self, city: City, chunk: int, rows: pd.DataFrame) -> None:
+        self.pending.updateValue((chunk,), tuple(rows[c].tolist() for c in PENDING))
+        place = bisect.bisect_left(city.chunks, chunk)
+        city.chunks.insert(place, chunk)
+        city.firsts.insert(place, int(rows["at_ms"].min()))
+
     def _keep(self, city: City, leaving: pd.DataFrame) -> None:
-        """Add to the slots what has yet to leave."""
+        """Add to the slots what has yet to leave: fill the last chunk, then open more."""
         for slot, rows in leaving.groupby(leaving["at_ms"] // self.slot_ms):
-            key = (int(slot),)
-            columns = [rows[c].tolist() for c in PENDING]
-            if slot in city.slots:
-                columns = [list(a) + b for a, b in zip(self.pending.getValue(key), columns)]
-            else:
-                bisect.insort(city.slots, key[0])
-            self.pending.updateValue(key, tuple(columns))
+            chunk = int(slot) << CHUNK_BITS
+            after = bisect.bisect_left(city.chunks, (int(slot) + 1) << CHUNK_BITS)
+            if after and city.chunks[after - 1] >= chunk:
+                chunk = city.chunks.pop(after - 1)
+                city.firsts.pop(after - 1)
+                rows = pd.concat([self._read(chunk), rows], ignore_index=True)
+            for start in range(0, len(rows), self.chunk_rows):
+                self._write(city, chunk, rows.iloc[start : start + self.chunk_rows])
+                chunk += 1
 
     def _take_due(self, city: City, until: int) -> pd.DataFrame:
         """Remove and return what leaves the window up to a time."""
         taken = [pd.DataFrame({c: [] for c in PENDING}, dtype="int64")]
-        while city.slots and city.slots[0] * self.slot_ms <= until:
-            key = (city.slots.pop(0),)
-            columns = zip(PENDING, self.pending.getValue(key))
-            rows = pd.DataFrame({c: np.asarray(v, "int64") for c, v in columns})
+        due_chunks = [c for c, first in zip(city.chunks, city.firsts) if first <= until]
+        for chunk in due_chunks:
+            rows = self._read(chunk)
             due = rows["at_ms"] <= until
             taken.append(rows[due])
-            self.pending.removeKey(key)
-            if not due.all():
-                self._keep(city, rows[~due])
-                break
+            place = city.chunks.index(chunk)
+            city.chunks.pop(place)
+            city.firsts.pop(place)
+            if due.all():
+                self.pending.removeKey((chunk,))
+            else:
+                self._write(city, chunk, rows[~due])
         return pd.concat(taken, ignore_index=True)
 
     def _set_timer(self, city: City) -> None:
         """Keep one timer per city, for the first that has yet to leave."""
-        first = int(min(self.pending.getValue((city.slots[0],))[0])) if city.slots else -1
+        first = min(city.firsts, default=-1)
         if first != city.timer_ms:
             if city.timer_ms >= 0:
                 self.handle.deleteTimer(city.timer_ms)

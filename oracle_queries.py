@@ -256,8 +256,9 @@ FINAL = {
         SELECT f.* FROM flooded f WHERE flood_id NOT IN (
           SELECT flood_id FROM city_pairs WHERE rise = {RISE} AND rough_distance <= 1)""",
     "tracker_batch": f"SELECT {MOVE_COLUMNS} FROM updates",
-    "tracker_stream": f"SELECT {MOVE_COLUMNS} FROM updates "
-    "WHERE arrival = 1 OR at_ms < (SELECT max(epoch_us(ts) // 1000) FROM refugee_events)",
+    "tracker_stream": f"SELECT {MOVE_COLUMNS} FROM updates u "
+    "WHERE arrival = 1 OR at_ms < (SELECT max(epoch_us(ts) // 1000) FROM refugee_events) OR "
+    "at_ms <= (SELECT max(epoch_us(ts) // 1000) FROM refugee_events e WHERE e.city_id = u.city_id)",
     "updates_json": """
         SELECT CAST(city_id AS VARCHAR) AS key, city_id, city_name, refugees, change, at_ms,
           arrival, event_id FROM updates""",
