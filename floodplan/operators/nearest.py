@@ -156,27 +156,41 @@ def _seeds(
     return _union(frames)
 
 
-def _blocks(cells: DataFrame, by: list[str], shift: int, parent: int | None) -> DataFrame:
-    """The non-empty blocks of a level with their bounds, and one of the cells in each."""
+def _blocks(cells: str, by: list[str], shift: int, parent: int | None, carried: list[str]) -> str:
+    """SQL for the non-empty blocks of a level: bounds, and one of the cells in each."""
+    mask = grid.AXIS_SPAN - 1
+    axes = {"q": "q", "r": "r", "s": "q + r"}
 
     def block(bits: int) -> str:
         return f"shiftleft(shiftright(q, {bits}), {grid.AXIS_BITS}) | shiftright(r, {bits})"
 
-    mask = grid.AXIS_SPAN - 1
-    placed = cells.selectExpr(
-        "*", f"shiftright(cell, {grid.AXIS_BITS}) & {mask} AS q", f"cell & {mask} AS r"
-    )
-    of_parent = f"{'0L' if parent is None else block(parent)} AS parent"
-    axes = {"q": "q", "r": "r", "s": "q + r"}
+    placed = f"""
+      SELECT *, shiftright(cell, {grid.AXIS_BITS}) & {mask} AS q, cell & {mask} AS r
+      FROM {{{cells}}}"""
+    of_parent = "0L" if parent is None else block(parent)
     if shift == 0:
         bounds = [f"{v} AS {a}_{end}" for a, v in axes.items() for end in ("min", "max")]
-        found = ["target"] if "target" in cells.columns else []
-        return placed.selectExpr(*by, of_parent, "cell AS block", *bounds, "cell", *found)
+        return f"""
+      SELECT {_list(by, f"{of_parent} AS parent", "cell AS block", bounds, "cell", carried)}
+      FROM ({placed})"""
     bounds = [f"{end}({v}) AS {a}_{end}" for a, v in axes.items() for end in ("min", "max")]
-    keyed = placed.selectExpr(*by, of_parent, f"{block(shift)} AS block", "q", "r", "cell")
-    return keyed.groupBy(*by, "parent", "block").agg(
-        *[F.expr(bound) for bound in bounds], F.min("cell").alias("cell")
-    )
+    return f"""
+      SELECT {_list(by, "parent, block", bounds, "min(cell) AS cell")}
+      FROM (SELECT *, {of_parent} AS parent, {block(shift)} AS block FROM ({placed}))
+      GROUP BY {_list(by, "parent, block")}"""
+
+
+def _list(*parts: str | list[str]) -> str:
+    """Column expressions, single ones and lists of them, as one SQL list."""
+    return ", ".join(p for part in parts for p in ([part] if isinstance(part, str) else part))
+
+
+def _of(alias: str, columns: list[str] | tuple[str, ...]) -> list[str]:
+    return [f"{alias}.{c}" for c in columns]
+
+
+def _same(a: str, b: str, columns: list[str]) -> str:
+    return " AND ".join(f"{a}.{c} = {b}.{c}" for c in columns)
 
 
 def _closest(a: str, b: str) -> str:
@@ -203,101 +217,68 @@ def level_shifts(res: int) -> list[int]:
     return list(range(first, -1, -LEVEL_BITS))
 
 
-def _same(a: str, b: str, columns: list[str]) -> str:
-    return " AND ".join(f"{a}.{c} = {b}.{c}" for c in columns)
-
-
-def _best_of_kind(kind: str, max_distance: int | None) -> str:
-    """The nearest target of a kind, ties by id, as a struct; NULL if there is none."""
-    distance = _closest("f", "n")
-    reached = f"kind = '{kind}'"
-    if max_distance is not None:
-        reached += f" AND {distance} <= {max_distance}"
-    best = f"struct(CAST({distance} AS INT) AS distance, target)"
-    return f"min(CASE WHEN {reached} THEN {best} END) AS {kind}"
-
+def _pairs(scope: list[str], level: int, shift: int, parent: int | None) -> str:
+    """SQL for what a level begins with: the children of the pairs left by the level before.
 
-def _descend(
-    seeds: DataFrame,
-    flood_cells: DataFrame,
-    target_cells: DataFrame,
-    targets: dict[str, Target],
-    scope: list[str],
-    res: int,
-) -> DataFrame:
-    """Per (scope, flood_group, cell) the nearest target of each kind."""
+    The parents' bound holds for their children, so it prunes before each shuffle.
+    """
     flood_by, target_by = [*scope, "flood_group"], [*scope, "kind", "target_group"]
     groups = [*scope, "kind", "flood_group", "target_group"]
-    state = seeds.selectExpr(
-        *groups,
-        "0L AS flood_parent",
-        "0L AS target_parent",
-        *[f"0L AS {c}" for c in BOX],
-        f"{UNBOUNDED}L AS bound",
-    )
+    found = ["target"] if shift == 0 else []
+    return f"""
+    flood_{level} AS ({_blocks("flood_cells", flood_by, shift, parent, [])}),
+    target_{level} AS ({_blocks("target_cells", target_by, shift, parent, found)}),
+    near_{level} AS (
+      SELECT {_list(_of("s", [*groups, "flood_parent", "bound"]), "t.block AS target_block",
+                    _of("t", [*BOX, "cell", *found]))}
+      FROM state_{level} s JOIN target_{level} t
+      ON {_same("s", "t", target_by)} AND s.target_parent = t.parent
+      WHERE {_closest("s", "t")} <= s.bound),
+    pairs_{level} AS (
+      SELECT {_list(_of("n", [*groups, "flood_parent", "target_block", *found]),
+                    "f.block AS flood_block", _of("f", BOX),
+                    f"{_closest('f', 'n')} AS lower", f"{_farthest('f', 'n.cell')} AS farthest")}
+      FROM near_{level} n JOIN flood_{level} f
+      ON {_same("n", "f", flood_by)} AND n.flood_parent = f.parent
+      WHERE {_closest("f", "n")} <= n.bound)"""
+
+
+def _descent(targets: dict[str, Target], scope: list[str], res: int) -> str:
+    """SQL for the nearest target of each kind, per (scope, flood_group, cell)."""
+    groups = [*scope, "kind", "flood_group", "target_group"]
+    unbounded = [f"0L AS {c}" for c in ("flood_parent", "target_parent", *BOX)]
+    unbounded.append(f"{UNBOUNDED}L AS bound")
+    steps = [f"state_0 AS (SELECT {_list(groups, unbounded)} FROM {{seeds}})"]
+    *coarse, last = enumerate(level_shifts(res))
     parent = None
-    for shift in level_shifts(res):
-        last = shift == 0
-        flood = _blocks(flood_cells.select(*flood_by, "cell"), flood_by, shift, parent)
-        found = ["target"] if last else []
-        target = _blocks(
-            target_cells.select(*target_by, "cell", *found), target_by, shift, parent
-        )
-        # The parents' bound holds for their children, so it prunes before each shuffle.
-        on_target = f"{_same('s', 't', target_by)} AND s.target_parent = t.parent"
-        near = (
-            state.alias("s")
-            .join(target.alias("t"), F.expr(on_target))
-            .where(f"{_closest('s', 't')} <= bound")
-            .selectExpr(
-                *[f"s.{c}" for c in groups],
-                "flood_parent",
-                "bound",
-                "t.block AS target_block",
-                *[f"t.{c}" for c in BOX],
-                "cell",
-                *found,
-            )
-        )
-        on_flood = f"{_same('n', 'f', flood_by)} AND n.flood_parent = f.parent"
-        pairs = (
-            near.alias("n")
-            .join(flood.alias("f"), F.expr(on_flood))
-            .where(f"{_closest('f', 'n')} <= bound")
-        )
-        if last:
-            bests = [
-                F.expr(_best_of_kind(kind, target.search.max_distance))
-                for kind, target in targets.items()
-            ]
-            # All kinds of a cell lie together already: one row per cell, no shuffle.
-            found = pairs.groupBy(*[f"n.{c}" for c in flood_by], "flood_parent", "f.block")
-            return found.agg(*bests).selectExpr(*flood_by, "block AS cell", *targets)
+    for level, shift in coarse:
+        own = _list(scope, "kind", "flood_group", "flood_parent", "flood_block")
         # The children's own bound prunes the rest. All candidates of a flooded parent
         # lie together after the join, so the window needs no shuffle of its own.
-        own = ", ".join([*groups[:-1], "flood_parent", "flood_block"])
-        state = (
-            pairs.selectExpr(
-                *[f"n.{c}" for c in groups],
-                "flood_parent",
-                "f.block AS flood_block",
-                "target_block",
-                *[f"f.{c}" for c in BOX],
-                f"{_closest('f', 'n')} AS lower",
-                f"{_farthest('f', 'n.cell')} AS farthest",
-            )
-            .selectExpr("*", f"min(farthest) OVER (PARTITION BY {own}) AS tight")
-            .where("lower <= tight")
-            .selectExpr(
-                *groups,
-                "flood_block AS flood_parent",
-                "target_block AS target_parent",
-                *BOX,
-                "tight AS bound",
-            )
-        )
+        steps.append(_pairs(scope, level, shift, parent))
+        steps.append(f"""
+    bounded_{level} AS (
+      SELECT *, min(farthest) OVER (PARTITION BY {own}) AS bound FROM pairs_{level}),
+    state_{level + 1} AS (
+      SELECT {_list(groups, "flood_block AS flood_parent", "target_block AS target_parent",
+                    list(BOX), "bound")}
+      FROM bounded_{level} WHERE lower <= bound)""")
         parent = shift
-    raise AssertionError("the last level is a single cell")
+    level, shift = last
+    steps.append(_pairs(scope, level, shift, parent))
+    bests = []
+    for kind, target in targets.items():
+        reached = f"kind = '{kind}'"
+        if target.search.max_distance is not None:
+            reached += f" AND lower <= {target.search.max_distance}"
+        best = "struct(CAST(lower AS INT) AS distance, target)"
+        bests.append(f"min(CASE WHEN {reached} THEN {best} END) AS {kind}")
+    # All kinds of a cell lie together already: one row per cell, without a shuffle.
+    cell = _list(scope, "flood_group")
+    return f"""
+    WITH {",".join(steps)}
+    SELECT {_list(cell, "flood_block AS cell", bests)}
+    FROM pairs_{level} GROUP BY {_list(cell, "flood_parent", "flood_block")}"""
 
 
 def nearest_targets(
@@ -321,7 +302,12 @@ def nearest_targets(
     flood_cells = settle(rows.groupBy(*keys).agg(F.count("*").alias("n")))
     target_cells = settle(_target_cells(targets, scope))
     seeds = _seeds(flood_cells, target_cells, targets, scope)
-    per_cell = _descend(seeds, flood_cells, target_cells, targets, scope, res)
+    per_cell = flooded.sparkSession.sql(
+        _descent(targets, scope, res),
+        seeds=seeds,
+        flood_cells=flood_cells,
+        target_cells=target_cells,
+    )
     return spread_join(rows, per_cell, keys, "flood_id", flood_cells, "left").drop("flood_group")
 
 
