@@ -251,33 +251,31 @@ def batch_updates(spark, sf_dir):
     return tracker_batch(fixtures.refugee_events(spark, sf_dir), WINDOW_SECONDS)
 
 
-def _write_messages(spark: SparkSession, events: DataFrame, path: str) -> None:
-    """Two slices of time, one after the other, each one batch of the stream."""
+def _messages(events: DataFrame) -> DataFrame:
+    """Arrivals as a topic's messages, and their time."""
     at = F.unix_millis(F.col("ts").cast("timestamp"))
-    body = F.to_json(
-        F.struct(at.alias("timestamp"), "city_id", "city_name", "refugees")
-    )
-    messages = events.select(
+    body = F.to_json(F.struct(at.alias("timestamp"), "city_id", "city_name", "refugees"))
+    return events.select(
         at.alias("at_ms"),
         F.col("city_id").cast("string").alias("key"),
         body.alias("value"),
         "event_id",
     )
-    middle = messages.agg(F.expr("(min(at_ms) + max(at_ms)) div 2 AS middle")).first()["middle"]
-    for half in (F.col("at_ms") <= middle, F.col("at_ms") > middle):
-        messages.filter(half).drop("at_ms").write.mode("append").json(path)
 
 
 def tracker_stream(spark, sf_dir):
-    """All updates that the stream emits until its input ends."""
+    """All updates of a stream that is stopped halfway and started again."""
     source, sink = _scratch(spark, "messages"), _scratch(spark, "updates")
-    events = fixtures.refugee_events(spark, sf_dir)
-    _write_messages(spark, events, source)
-    arrivals, _ = parse_events(read_message_files(spark, source))
-    # The files of a slice are unordered between them.
-    updates = track_refugees(arrivals, WINDOW_SECONDS, watermark="1 millisecond")
-    writer = write_message_files(updates, sink, _scratch(spark, "checkpoint"))
-    writer.trigger(availableNow=True).start().awaitTermination()
+    checkpoint = _scratch(spark, "checkpoint")
+    messages = _messages(fixtures.refugee_events(spark, sf_dir))
+    middle = messages.agg(F.expr("(min(at_ms) + max(at_ms)) div 2 AS middle")).first()["middle"]
+    for half in (F.col("at_ms") <= middle, F.col("at_ms") > middle):
+        messages.filter(half).drop("at_ms").write.mode("append").json(source)
+        # Files of one half have no order between them, so they make one batch.
+        arrivals, _ = parse_events(read_message_files(spark, source, max_files=1_000_000))
+        updates = track_refugees(arrivals, WINDOW_SECONDS)
+        writer = write_message_files(updates, sink, checkpoint)
+        writer.trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(updates.schema).json(sink)
 
 

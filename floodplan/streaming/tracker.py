@@ -60,6 +60,10 @@ def encode_updates(updates: DataFrame) -> DataFrame:
     return updates.select(F.col("city_id").cast("string").alias("key"), value, *rest)
 
 
+def _column(frames: list[pd.DataFrame], name: str) -> np.ndarray:
+    return np.concatenate([frame[name].to_numpy() for frame in frames])
+
+
 @dataclass
 class City:
     """What is known of one city: the content of its value state.
@@ -105,25 +109,19 @@ class RefugeeTracker(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(rows), ignore_index=True)
+        frames = list(rows)
+        arrived = np.stack([_column(frames, c).astype("int64") for c in PENDING])
         if self.time_mode == PROCESSING_TIME:
-            arrived["at_ms"] = timerValues.getCurrentProcessingTimeInMs()
-        arrived = arrived.sort_values(["at_ms", "event_id"], kind="stable")
+            arrived[0] = timerValues.getCurrentProcessingTimeInMs()
         city = self._city() or City()
-        leaving = arrived[list(PENDING)].assign(at_ms=arrived["at_ms"] + self.window_ms)
-        until = int(arrived["at_ms"].iloc[-1])
+        until = int(arrived[0].max())
+        leaving = arrived.copy()
+        leaving[0] += self.window_ms
         # An arrival may leave again within the same batch.
-        at_once = leaving["at_ms"] <= until
-        due = pd.concat([self._take_due(city, until), leaving[at_once]], ignore_index=True)
-        self._keep(city, leaving[~at_once])
-        moves = pd.concat(
-            [
-                due.assign(arrival=0, city_name=None),
-                arrived[[*PENDING, "city_name"]].assign(arrival=1),
-            ],
-            ignore_index=True,
-        )
-        yield from self._apply(key, city, moves)
+        at_once = leaving[0] <= until
+        due = np.hstack([self._take_due(city, until), leaving[:, at_once]])
+        self._keep(city, leaving[:, ~at_once])
+        yield from self._apply(key, city, due, arrived, _column(frames, "city_name"))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         city = self._city()
@@ -136,7 +134,7 @@ class RefugeeTracker(StatefulProcessor):
         else:
             until = timerValues.getCurrentWatermarkInMs()
         due = self._take_due(city, until)
-        yield from self._apply(key, city, due.assign(arrival=0, city_name=None))
+        yield from self._apply(key, city, due, due[:, :0], np.empty(0, object))
 
     def close(self) -> None:
         """Nothing to do: the checkpoint owns the state."""
@@ -145,71 +143,77 @@ class RefugeeTracker(StatefulProcessor):
         stored = self.known.get()
         return City(*stored[:4], list(stored[4]), list(stored[5])) if stored else None
 
-    def _apply(self, key, city: City, moves: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        """Emit one update per move and store what comes of them."""
-        moves = moves.sort_values(["at_ms", "arrival", "event_id"], kind="stable")
-        amounts = moves["refugees"].to_numpy("int64")
-        arrival = moves["arrival"].to_numpy("int32")
-        names = moves["city_name"].astype(object).ffill().fillna(city.name)
-        totals = city.refugees + np.cumsum(np.where(arrival == 1, amounts, 0))
-        changes = city.change + np.cumsum(np.where(arrival == 1, amounts, -amounts))
-        if len(moves):
-            city.name = names.iloc[-1]
-            city.refugees, city.change = int(totals[-1]), int(changes[-1])
+    def _apply(
+        self, key, city: City, due: np.ndarray, arrived: np.ndarray, names: np.ndarray
+    ) -> Iterator[pd.DataFrame]:
+        """Emit one update per move, in order, and store what comes of them."""
+        moves = np.hstack([due, arrived])
+        arrival = np.repeat([0, 1], [due.shape[1], arrived.shape[1]]).astype("int32")
+        order = np.lexsort((moves[1], arrival, moves[0]))
+        (at_ms, event_id, amount), arrival = moves[:, order], arrival[order]
+        # A city goes by the name in its latest arrival, at first the stored one.
+        known = np.concatenate([[city.name], np.full(due.shape[1], None), names])
+        latest = np.maximum.accumulate(np.where(arrival == 1, np.arange(len(order)), -1))
+        named = known[np.where(latest < 0, 0, order[latest] + 1)]
+        refugees = city.refugees + np.cumsum(np.where(arrival == 1, amount, 0))
+        change = city.change + np.cumsum(np.where(arrival == 1, amount, -amount))
+        if len(order):
+            city.name = named[-1]
+            city.refugees, city.change = int(refugees[-1]), int(change[-1])
         self._set_timer(city)
         self.known.update(astuple(city))
-        if len(moves):
+        if len(order):
             yield pd.DataFrame(
                 {
-                    "city_id": np.full(len(moves), key[0], "int64"),
-                    "city_name": names.to_numpy(),
-                    "at_ms": moves["at_ms"].to_numpy("int64"),
+                    "city_id": np.full(len(order), key[0], "int64"),
+                    "city_name": named,
+                    "at_ms": at_ms,
                     "arrival": arrival,
-                    "event_id": moves["event_id"].to_numpy("int64"),
-                    "refugees": totals,
-                    "change": changes,
+                    "event_id": event_id,
+                    "refugees": refugees,
+                    "change": change,
                 }
             )
 
-    def _read(self, chunk: int) -> pd.DataFrame:
-        columns = zip(PENDING, self.pending.getValue((chunk,)))
-        return pd.DataFrame({name: np.asarray(values, "int64") for name, values in columns})
+    def _read(self, chunk: int) -> np.ndarray:
+        return np.array(self.pending.getValue((chunk,)), "int64")
 
-    def _write(self, city: City, chunk: int, rows: pd.DataFrame) -> None:
-        self.pending.updateValue((chunk,), tuple(rows[c].tolist() for c in PENDING))
+    def _write(self, city: City, chunk: int, rows: np.ndarray) -> None:
+        self.pending.updateValue((chunk,), tuple(rows.tolist()))
         place = bisect.bisect_left(city.chunks, chunk)
         city.chunks.insert(place, chunk)
-        city.firsts.insert(place, int(rows["at_ms"].min()))
+        city.firsts.insert(place, int(rows[0].min()))
 
-    def _keep(self, city: City, leaving: pd.DataFrame) -> None:
+    def _keep(self, city: City, leaving: np.ndarray) -> None:
         """Add to the slots what has yet to leave: fill the last chunk, then open more."""
-        for slot, rows in leaving.groupby(leaving["at_ms"] // self.slot_ms):
-            chunk = int(slot) << CHUNK_BITS
-            after = bisect.bisect_left(city.chunks, (int(slot) + 1) << CHUNK_BITS)
+        slots = leaving[0] // self.slot_ms
+        for slot in np.unique(slots).tolist():
+            rows = leaving[:, slots == slot]
+            chunk = slot << CHUNK_BITS
+            after = bisect.bisect_left(city.chunks, (slot + 1) << CHUNK_BITS)
             if after and city.chunks[after - 1] >= chunk:
                 chunk = city.chunks.pop(after - 1)
                 city.firsts.pop(after - 1)
-                rows = pd.concat([self._read(chunk), rows], ignore_index=True)
-            for start in range(0, len(rows), self.chunk_rows):
-                self._write(city, chunk, rows.iloc[start : start + self.chunk_rows])
+                rows = np.hstack([self._read(chunk), rows])
+            for start in range(0, rows.shape[1], self.chunk_rows):
+                self._write(city, chunk, rows[:, start : start + self.chunk_rows])
                 chunk += 1
 
-    def _take_due(self, city: City, until: int) -> pd.DataFrame:
+    def _take_due(self, city: City, until: int) -> np.ndarray:
         """Remove and return what leaves the window up to a time."""
-        taken = [pd.DataFrame({c: [] for c in PENDING}, dtype="int64")]
-        due_chunks = [c for c, first in zip(city.chunks, city.firsts) if first <= until]
-        for chunk in due_chunks:
+        taken = [np.empty((len(PENDING), 0), "int64")]
+        for chunk in [c for c, first in zip(city.chunks, city.firsts) if first <= until]:
             rows = self._read(chunk)
-            due = rows["at_ms"] <= until
-            taken.append(rows[due])
+            due = rows[0] <= until
+            taken.append(rows[:, due])
             place = city.chunks.index(chunk)
             city.chunks.pop(place)
             city.firsts.pop(place)
             if due.all():
                 self.pending.removeKey((chunk,))
             else:
-                self._write(city, chunk, rows[~due])
-        return pd.concat(taken, ignore_index=True)
+                self._write(city, chunk, rows[:, ~due])
+        return np.hstack(taken)
 
     def _set_timer(self, city: City) -> None:
         """Keep one timer per city, for the first that has yet to leave."""
