@@ -28,6 +28,7 @@ from floodplan.sources.files import (
 )
 from floodplan.sources.messages import read_message_files, write_message_files
 from floodplan.streaming import updates as U
+from floodplan.streaming.ranged import read_updates, track_in_ranges
 from floodplan.streaming.replay import tracker_batch
 from floodplan.streaming.tracker import encode_updates, parse_events, track_refugees
 
@@ -279,6 +280,19 @@ def tracker_stream(spark, sf_dir):
     return spark.read.schema(updates.schema).json(sink)
 
 
+def tracker_stream_ranged(spark, sf_dir):
+    """The same stream, each half cut into ranges instead of cities."""
+    source, folder = _scratch(spark, "messages"), _scratch(spark, "ranged")
+    messages = _messages(fixtures.refugee_events(spark, sf_dir))
+    middle = messages.agg(F.expr("(min(at_ms) + max(at_ms)) div 2 AS middle")).first()["middle"]
+    for half in (F.col("at_ms") <= middle, F.col("at_ms") > middle):
+        messages.filter(half).drop("at_ms").write.mode("append").json(source)
+        arrivals, _ = parse_events(read_message_files(spark, source, max_files=1_000_000))
+        writer = track_in_ranges(arrivals, WINDOW_SECONDS, folder)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return read_updates(spark, folder)
+
+
 def updates_json(spark, sf_dir):
     messages = encode_updates(batch_updates(spark, sf_dir))
     parsed = U.parse_updates(messages)
@@ -392,6 +406,7 @@ def queries() -> dict[str, Query]:
         "unassigned": unassigned,
         "tracker_batch": batch_updates,
         "tracker_stream": tracker_stream,
+        "tracker_stream_ranged": tracker_stream_ranged,
         "updates_json": updates_json,
         "updates_enriched": updates_enriched,
         "city_latest": city_latest,

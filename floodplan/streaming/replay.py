@@ -6,59 +6,59 @@ trailing window, it is taken off the change again. Each of the two is one update
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from floodplan.functions.checks import check_window
 from floodplan.session import settle
 
+# What orders the moves of a city. At equal times what leaves (0) goes before what
+# arrives (1).
 ORDER = ("at_ms", "arrival", "event_id")
+MOVE = ("city_id", "city_name", "event_id", "refugees", "at_ms", "arrival")
 
 
 def moves(events: DataFrame, window_seconds: int) -> DataFrame:
-    """Two rows per arrival: the arrival (1) and its leaving the window (0).
-
-    ``arrival`` also orders the two at equal times: what leaves goes first.
-    """
+    """Two rows per arrival: the arrival (1) and its leaving the window (0)."""
     length = check_window(window_seconds) * 1000
     at = F.unix_millis(F.col("ts").cast("timestamp"))
 
-    def move(at, arrival: int):
+    def move(at: Column, arrival: int) -> Column:
         return F.struct(at.alias("at_ms"), F.lit(arrival).alias("arrival"))
 
-    return events.select(
-        "city_id",
-        "city_name",
-        "event_id",
-        "refugees",
-        F.inline(F.array(move(at, 1), move(at + length, 0))),
-    )
+    both = F.array(move(at, 1), move(at + length, 0))
+    return events.select("city_id", "city_name", "event_id", "refugees", F.inline(both))
 
 
-def tracker_batch(
-    events: DataFrame, window_seconds: int, partitions: int | None = None
+def running_updates(
+    moves: DataFrame,
+    before: DataFrame | None = None,
+    partitions: int | None = None,
+    keep: Callable[[DataFrame], DataFrame] = settle,
 ) -> DataFrame:
-    """All updates, in any order: city, time, total and change after each.
+    """One update per move: city, time, total and change after it.
 
     A running sum per city would put a whole city into one task. Here the moves of all
     cities are sorted into ranges of equal size, wherever that cuts a city; each range
-    sums up on its own and starts from what the city's earlier ranges add up to.
+    sums up on its own and starts from what the city's earlier ranges add up to, and
+    from ``before`` (city_id, city_name, refugees, change), if given.
     """
-    session = events.sparkSession
+    session = moves.sparkSession
     partitions = partitions or int(session.conf.get("spark.sql.shuffle.partitions"))
-    ranges = settle(
-        moves(events, window_seconds)
+    # Kept, so that every reader sees a row in the same range.
+    ranges = keep(
+        moves.select(*MOVE)
         .repartitionByRange(partitions, "city_id", *ORDER)
         .withColumn("range", F.spark_partition_id())
     )
-    arrived = F.when(F.col("arrival") == 1, F.col("refugees"))
-    moved = F.when(F.col("arrival") == 1, F.col("refugees")).otherwise(-F.col("refugees"))
-    named = F.when(F.col("arrival") == 1, F.col("city_name"))
-    order = F.struct(*ORDER)
-
-    own_range = Window.partitionBy("city_id", "range").orderBy(*ORDER)
-    so_far = own_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # One row per city and range: all cities, and one more for each cut.
+    is_arrival = F.col("arrival") == 1
+    arrived = F.when(is_arrival, F.col("refugees"))
+    moved = F.when(is_arrival, F.col("refugees")).otherwise(-F.col("refugees"))
+    named = F.when(is_arrival, F.col("city_name"))
+
+    # One row per city and range: as many as cities, and one more for each cut.
     earlier = (
         Window.partitionBy("city_id")
         .orderBy("range")
@@ -69,7 +69,7 @@ def tracker_batch(
         .agg(
             F.sum(arrived).alias("arrived"),
             F.sum(moved).alias("moved"),
-            F.max_by(named, F.when(F.col("arrival") == 1, order)).alias("named"),
+            F.max_by(named, F.when(is_arrival, F.struct(*ORDER))).alias("named"),
         )
         .select(
             "city_id",
@@ -79,12 +79,31 @@ def tracker_batch(
             F.last("named", ignorenulls=True).over(earlier).alias("named_before"),
         )
     )
+    if before is not None:
+        carried = carried.join(before, "city_id", "left").select(
+            "city_id",
+            "range",
+            (F.col("arrived_before") + F.coalesce("refugees", F.lit(0))).alias("arrived_before"),
+            (F.col("moved_before") + F.coalesce("change", F.lit(0))).alias("moved_before"),
+            F.coalesce("named_before", "city_name").alias("named_before"),
+        )
+    so_far = (
+        Window.partitionBy("city_id", "range")
+        .orderBy(*ORDER)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    total = F.coalesce(F.sum(arrived).over(so_far), F.lit(0)) + F.col("arrived_before")
     return ranges.join(carried, ["city_id", "range"]).select(
         "city_id",
         F.coalesce(F.last(named, ignorenulls=True).over(so_far), "named_before").alias("city_name"),
         *ORDER,
-        (F.coalesce(F.sum(arrived).over(so_far), F.lit(0)) + F.col("arrived_before")).alias(
-            "refugees"
-        ),
+        total.alias("refugees"),
         (F.sum(moved).over(so_far) + F.col("moved_before")).alias("change"),
     )
+
+
+def tracker_batch(
+    events: DataFrame, window_seconds: int, partitions: int | None = None
+) -> DataFrame:
+    """All updates of a finite table of arrivals, in any order."""
+    return running_updates(moves(events, window_seconds), partitions=partitions)

@@ -259,6 +259,8 @@ FINAL = {
     "tracker_stream": f"SELECT {MOVE_COLUMNS} FROM updates u "
     "WHERE arrival = 1 OR at_ms < (SELECT max(epoch_us(ts) // 1000) FROM refugee_events) OR "
     "at_ms <= (SELECT max(epoch_us(ts) // 1000) FROM refugee_events e WHERE e.city_id = u.city_id)",
+    "tracker_stream_ranged": f"SELECT {MOVE_COLUMNS} FROM updates "
+    "WHERE at_ms <= (SELECT max(epoch_us(ts) // 1000) FROM refugee_events)",
     "updates_json": """
         SELECT CAST(city_id AS VARCHAR) AS key, city_id, city_name, refugees, change, at_ms,
           arrival, event_id FROM updates""",

@@ -3,8 +3,9 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from floodplan.streaming.job import updates_of
 from floodplan.sources.messages import read_message_files, write_message_files
+from floodplan.streaming.job import updates_of
+from floodplan.streaming.ranged import RangedTracker, read_updates, track_in_ranges
 from floodplan.streaming.replay import tracker_batch
 from floodplan.streaming.tracker import (
     EVENT_TIME,
@@ -172,6 +173,40 @@ def test_malformed_message_does_not_stop_the_stream(spark, tmp_path):
     assert [r["value"] for r in spark.read.json(f"{tmp_path}/bad").collect()] == ["broken"]
 
 
+def test_ranged_stream_restarts_and_repeats(spark, tmp_path):
+    """A third of the rows is one city; some come late; the last batch runs twice."""
+    rows = [(i, START + i / 4, 1 if i % 3 == 0 else i % 5, i % 7) for i in range(400)]
+    source, folder = f"{tmp_path}/in", f"{tmp_path}/tracker"
+    published = []
+
+    def run():
+        stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).json(source)
+        writer = track_in_ranges(stream, 30, folder, lambda df: published.append(df.count()))
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    write_slices(spark, rows, [0, START + 40, START + 60], source)
+    run()
+    write_slices(spark, rows, [START + 60, START + 1000], source)
+    run()
+    newest = max(int(s * 1000) for _, s, _, _ in rows)
+    expected = {u for u in replay(rows, 30) if u[2] <= newest}
+    assert as_set(read_updates(spark, folder)) == expected
+    assert len(published) == 3 and sum(published) == len(expected)
+
+    last = events(spark, [r for r in rows if r[1] >= START + 60])
+    RangedTracker(30, folder)(last, 2)
+    assert as_set(read_updates(spark, folder)) == expected
+
+    late = events(spark, [(1000, START + 1, 1, 100)])
+    RangedTracker(30, folder)(late, 3)
+    found = {u for u in as_set(read_updates(spark, folder)) if u[4] == 1000}
+    total = sum(n for _, _, city, n in rows if city == 1) + 100
+    assert {(u[3], u[5]) for u in found} == {(1, total), (0, total)}
+
+    with pytest.raises(ValueError):
+        RangedTracker(30, folder)(late, 9)
+
+
 def test_processing_time(spark, tmp_path):
     """Every arrival is counted at once and leaves after the window, by the clock."""
     write_slices(spark, ROWS, [0, 2000], f"{tmp_path}/in")
