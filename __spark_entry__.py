@@ -264,8 +264,20 @@ def _messages(events: DataFrame) -> DataFrame:
     )
 
 
+def _stream_session(spark: SparkSession) -> SparkSession:
+    """A session of its own: a stream keeps its number of partitions for good."""
+    session = spark.newSession()
+    for key, value in {
+        "spark.sql.session.timeZone": spark.conf.get("spark.sql.session.timeZone"),
+        "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
+    }.items():
+        session.conf.set(key, value)
+    return session
+
+
 def tracker_stream(spark, sf_dir):
     """All updates of a stream that is stopped halfway and started again."""
+    spark = _stream_session(spark)
     source, sink = _scratch(spark, "messages"), _scratch(spark, "updates")
     checkpoint = _scratch(spark, "checkpoint")
     messages = _messages(fixtures.refugee_events(spark, sf_dir))
@@ -282,6 +294,7 @@ def tracker_stream(spark, sf_dir):
 
 def tracker_stream_ranged(spark, sf_dir):
     """The same stream, each half cut into ranges instead of cities."""
+    spark = _stream_session(spark)
     source, folder = _scratch(spark, "messages"), _scratch(spark, "ranged")
     messages = _messages(fixtures.refugee_events(spark, sf_dir))
     middle = messages.agg(F.expr("(min(at_ms) + max(at_ms)) div 2 AS middle")).first()["middle"]

@@ -292,7 +292,8 @@ def nearest_targets(
     The struct is NULL where no target can be reached. Ties in distance go to the
     smallest target id. Rows whose ``scope`` columns differ never meet.
     ``flooded`` is read twice and each target frame once; settle them if they are
-    costly to compute.
+    costly to compute. The search itself is run here and its result, one row per flooded
+    cell, is settled: what follows is planned on its true size and never repeats it.
     """
     scope = list(scope)
     ring = any(t.search.strategy == "ring" for t in targets.values())
@@ -302,11 +303,13 @@ def nearest_targets(
     flood_cells = settle(rows.groupBy(*keys).agg(F.count("*").alias("n")))
     target_cells = settle(_target_cells(targets, scope))
     seeds = _seeds(flood_cells, target_cells, targets, scope)
-    per_cell = flooded.sparkSession.sql(
-        _descent(targets, scope, res),
-        seeds=seeds,
-        flood_cells=flood_cells,
-        target_cells=target_cells,
+    per_cell = settle(
+        flooded.sparkSession.sql(
+            _descent(targets, scope, res),
+            seeds=seeds,
+            flood_cells=flood_cells,
+            target_cells=target_cells,
+        )
     )
     return spread_join(rows, per_cell, keys, "flood_id", flood_cells, "left").drop("flood_group")
 

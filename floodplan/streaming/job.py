@@ -15,6 +15,7 @@ from floodplan.sources.messages import (
     write_kafka,
     write_message_files,
 )
+from floodplan.streaming.ranged import track_in_ranges
 from floodplan.streaming.tracker import (
     EVENT_TIME,
     PROCESSING_TIME,
@@ -53,6 +54,29 @@ def run(
     return [writer.trigger(processingTime=trigger).start() for writer in writers]
 
 
+def run_in_ranges(
+    spark: SparkSession,
+    servers: str,
+    window_seconds: int,
+    checkpoint: str,
+    trigger: str = "1 minute",
+) -> list[StreamingQuery]:
+    """The same, with every batch cut into ranges; time is event time."""
+    window_seconds = check_window(window_seconds)
+    arrivals, malformed = parse_events(read_kafka(spark, servers, EVENTS_TOPIC))
+
+    def publish(updates: DataFrame) -> None:
+        messages = encode_updates(updates).select("key", "value")
+        sink = messages.write.format("kafka").option("kafka.bootstrap.servers", servers)
+        sink.option("topic", UPDATES_TOPIC).save()
+
+    writers = [
+        track_in_ranges(arrivals, window_seconds, f"{checkpoint}/ranges", publish),
+        write_message_files(malformed, f"{checkpoint}/malformed-messages", f"{checkpoint}/malformed"),
+    ]
+    return [writer.trigger(processingTime=trigger).start() for writer in writers]
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Track arrivals per city.")
     parser.add_argument("window", help="length of the trailing window in seconds")
@@ -60,11 +84,15 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("checkpoint", help="folder of the stream's checkpoint")
     parser.add_argument("--event-time", action="store_true", help="expire by event time")
     parser.add_argument("--watermark", default="1 millisecond", help="disorder to allow for")
+    parser.add_argument("--ranges", action="store_true", help="for one dominant city")
     given = parser.parse_args(arguments)
     window_seconds = check_window(given.window)
     spark = SparkSession.builder.appName("floodplan-tracker").getOrCreate()
-    time_mode = EVENT_TIME if given.event_time else PROCESSING_TIME
-    run(spark, given.servers, window_seconds, given.checkpoint, time_mode, given.watermark)
+    if given.ranges:
+        run_in_ranges(spark, given.servers, window_seconds, given.checkpoint)
+    else:
+        time_mode = EVENT_TIME if given.event_time else PROCESSING_TIME
+        run(spark, given.servers, window_seconds, given.checkpoint, time_mode, given.watermark)
     spark.streams.awaitAnyTermination()
 
 

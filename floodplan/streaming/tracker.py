@@ -8,10 +8,12 @@ from dataclasses import astuple, dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+import floodplan
 from floodplan.functions.checks import check_window
 from floodplan.sources import schemas
 
@@ -245,6 +247,8 @@ def track_refugees(
     check_window(window_seconds)
     if time_mode not in (EVENT_TIME, PROCESSING_TIME):
         raise ValueError(f"time_mode must be EventTime or ProcessingTime, not {time_mode!r}")
+    # The processor travels with its code, so executors need not have the package.
+    cloudpickle.register_pickle_by_value(floodplan)
     session = arrivals.sparkSession
     session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     keyed = arrivals.select(
