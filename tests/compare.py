@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 from pathlib import Path
@@ -29,8 +28,6 @@ def _key(row):
 
 
 def _same(a, b) -> bool:
-    if isinstance(a, float) and isinstance(b, float):
-        return math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12)
     return a == b and type(a) is type(b)
 
 
