@@ -302,7 +302,8 @@ def nearest_targets(
     keys = [*scope, "flood_group", "cell"]
     flood_cells = settle(rows.groupBy(*keys).agg(F.count("*").alias("n")))
     target_cells = settle(_target_cells(targets, scope))
-    seeds = _seeds(flood_cells, target_cells, targets, scope)
+    # Kept as a table, its keys are columns like any other and never folded into a product.
+    seeds = settle(_seeds(flood_cells, target_cells, targets, scope))
     per_cell = settle(
         flooded.sparkSession.sql(
             _descent(targets, scope, res),

@@ -9,6 +9,7 @@ from floodplan.operators import elevation as E
 from floodplan.operators import nearest as N
 from floodplan.operators import places as P
 from floodplan.plans import pipeline as L
+from floodplan.session import settle
 from floodplan.sources import fixtures
 from floodplan.sources.files import read_elevation, read_nodes, write_bucketed
 
@@ -52,17 +53,36 @@ def test_samples_are_reduced_before_they_move(spark, files):
     assert re.search(r"Exchange[\s\S]*WindowGroupLimit[^\n]*Partial", window)
 
 
-def test_no_products_and_no_python(spark, no_broadcast):
+@pytest.fixture
+def settled(monkeypatch):
+    """The plans of all frames that are kept on the way, in order."""
+    plans = []
+
+    def record(df):
+        plans.append(plan(df))
+        return settle(df)
+
+    for module in (N, L):
+        monkeypatch.setattr(module, "settle", record)
+    return plans
+
+
+def test_no_products_and_no_python(spark, no_broadcast, settled):
     terrain = entry._terrain(spark, SF_DIR)
     for searches in (L.EXHAUSTIVE, L.RING):
-        found = plan(L.evacuation_plan(terrain, 20, searches))
-        assert not any(name in found for name in (*PRODUCTS, *PYTHON))
+        settled.append(plan(L.evacuation_plan(terrain, 20, searches)))
+    flood, safe, _ = entry._sides(spark, SF_DIR)
+    for search in (N.Search(), N.Search("ring", rings=(0, 2))):
+        settled.append(plan(N.nearest_city(flood, safe, search)))
+    assert len(settled) > 20
+    assert not [name for name in (*PRODUCTS, *PYTHON) for found in settled if name in found]
 
 
-def test_candidates_are_pruned_where_they_were_joined(spark, no_broadcast):
+def test_candidates_are_pruned_where_they_were_joined(spark, no_broadcast, settled):
     """The window over a block's candidates reads the join's partitions as they are."""
     flood, safe, _ = entry._sides(spark, SF_DIR)
-    lines = plan(N.nearest_city(flood, safe)).splitlines()
+    N.nearest_city(flood, safe)
+    lines = settled[-1].splitlines()
     windows = [i for i, line in enumerate(lines) if "+- Window [min(farthest" in line]
     assert len(windows) == len(N.level_shifts(7)) - 1
     for i in windows:
