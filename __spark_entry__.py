@@ -32,6 +32,14 @@ from floodplan.streaming.ranged import read_updates, track_in_ranges
 from floodplan.streaming.replay import tracker_batch
 from floodplan.streaming.tracker import encode_updates, parse_events, track_refugees
 
+try:
+    import corpus_pipeline
+    from floodplan.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "floodplan.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 RISE = oracle_queries.RISE
 WINDOW_SECONDS = oracle_queries.WINDOW_SECONDS
 FEATURES_PER_FILE = 500
@@ -378,7 +386,8 @@ def entry(spark: SparkSession) -> DataFrame:
     return _plan(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def own_queries() -> dict[str, Query]:
+    """Those of the flood analytics."""
     return {
         "osm_nodes": osm_nodes,
         "tag_rows": tag_rows,
@@ -430,5 +439,18 @@ def queries() -> dict[str, Query]:
     }
 
 
+def queries() -> dict[str, Query]:
+    found = own_queries()
+    if llm_queries:
+        found |= llm_queries.queries()
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    found = oracle_queries.oracle_sql()
+    if llm_queries:
+        found |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
