@@ -105,8 +105,8 @@ def oracle_sql() -> dict[str, str]:
         "op4_embeddings": """
             WITH RECURSIVE v AS (
                 SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-                WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x <> 0)) > 0
-                  AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+                WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
             ),
             link AS (
                 SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
@@ -158,7 +158,7 @@ def oracle_sql() -> dict[str, str]:
             )
             SELECT conv_id, len(turns)::BIGINT AS n_turns, n_equal,
                 list_aggregate(
-                    list_transform(turns, x -> '{chat.START}' || replace(x.r, '<|', '< |') || chr(10)
+                    list_transform(turns, lambda x: '{chat.START}' || replace(x.r, '<|', '< |') || chr(10)
                         || replace(x.t, '<|', '< |') || '{chat.END}' || chr(10)),
                     'string_agg', '') AS chat
             FROM whole ANTI JOIN shorter USING (turns)""",
