@@ -1,8 +1,9 @@
 """Language of texts by words first, and by ever shorter character n-grams for other words.
 
 Words of all training documents are counted by language. The most frequent are known and
-score by their log frequency in each language. A word that isn't known is scored by its
-n-grams of the greatest length of which any is known, at a price for each step down.
+score by their log frequency in each language. A word that isn't known is scored by the
+mean of its n-grams of the greatest length of which any is known. A price for each step
+down would be the same for all languages and so change nothing.
 """
 
 from __future__ import annotations
@@ -25,8 +26,6 @@ UNKNOWN = "und"
 #: Sizes of the model, which is sent to every task.
 WORDS, GRAMS = 60_000, 30_000
 LONGEST = 5
-#: Log price of each step to shorter n-grams.
-STEP = 0.4
 REMEMBERED = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -72,28 +71,30 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
+    """Rows of ``logs``, a column for each language, by word and by n-gram of each length."""
+
     langs: list[str]
-    words: dict[str, np.ndarray]
-    grams: list[dict[str, np.ndarray]]
-
-    def word(self, word: str) -> np.ndarray:
-        """Log frequency of a word in each language, or what stands for it."""
-        found = self.words.get(word)
-        if found is not None:
-            return found
-        for step, n in enumerate(range(LONGEST, 0, -1), 1):
+    words: dict[str, int]
+    grams: list[dict[str, int]]
+    logs: np.ndarray
+
+    def rows(self, word: str) -> list[int]:
+        """The rows whose mean is a word's score; none if nothing about it is known."""
+        row = self.words.get(word)
+        if row is not None:
+            return [row]
+        for n in range(LONGEST, 0, -1):
             known = [g for g in map(self.grams[n - 1].get, grams_of(word, n)) if g is not None]
             if known:
-                return np.mean(known, axis=0) - STEP * step
-        return np.zeros(len(self.langs))
+                return known
+        return []
 
 
-def _logs(counts: pd.DataFrame, key: str, langs: list[str], totals: pd.Series) -> dict[str, np.ndarray]:
+def _logs(counts: pd.DataFrame, key: str, langs: list[str], totals: pd.Series) -> pd.DataFrame:
     """Smoothed log frequencies from rows (key, lang, n)."""
     table = counts.pivot_table(index=key, columns="lang", values="n", aggfunc="sum", fill_value=0)
-    table = table.reindex(columns=langs, fill_value=0)
-    logs = np.log((table.to_numpy(float) + 0.5) / (totals[langs].to_numpy(float) + 0.5 * len(table)))
-    return dict(zip(table.index, logs))
+    table = table.reindex(columns=langs, fill_value=0).astype(float)
+    return np.log((table + 0.5) / (totals[langs].to_numpy(float) + 0.5 * max(len(table), 1)))
 
 
 def _frequent(counts: DataFrame, key: str, most: int) -> pd.DataFrame:
@@ -112,9 +113,9 @@ def train(docs: DataFrame, most_words: int = WORDS, most_grams: int = GRAMS) ->
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n")).toPandas().set_index("lang")["n"]
     langs = sorted(totals.index)
     if not langs:
-        return Model([], {}, [{} for _ in range(LONGEST)])
+        return Model([], {}, [{}] * LONGEST, np.zeros((0, 0)))
     marked = F.concat(F.lit("<"), "word", F.lit(">"))
-    grams = []
+    tables = [_logs(_frequent(counts, "word", most_words), "word", langs, totals)]
     for n in range(1, LONGEST + 1):
         places = F.sequence(F.lit(1), F.length(marked) - n + 1)
         cut = F.filter(
@@ -126,22 +127,44 @@ def train(docs: DataFrame, most_words: int = WORDS, most_grams: int = GRAMS) ->
             .agg(F.sum("n").alias("n"))
         )
         found = _frequent(settle(by_gram), "gram", most_grams)
-        grams.append(_logs(found, "gram", langs, found.groupby("lang")["n"].sum().reindex(langs, fill_value=0)))
-    return Model(langs, _logs(_frequent(counts, "word", most_words), "word", langs, totals), grams)
+        sums = found.groupby("lang")["n"].sum().reindex(langs, fill_value=0)
+        tables.append(_logs(found, "gram", langs, sums))
+    ends = np.cumsum([0, *(len(t) for t in tables)])
+    rows = [{key: start + i for i, key in enumerate(t.index)} for start, t in zip(ends.tolist(), tables)]
+    return Model(langs, rows[0], rows[1:], np.concatenate([t.to_numpy() for t in tables]))
+
 
+class _Rows(dict):
+    """Rows of each word, looked up once."""
 
-class _Scores(dict):
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
 
-    def __missing__(self, word: str) -> np.ndarray:
+    def __missing__(self, word: str) -> list[int]:
         if len(self) >= REMEMBERED:
             self.clear()
-        self[word] = found = self.model.word(word)
+        self[word] = found = self.model.rows(word)
         return found
 
 
+def _total(counts: Counter, rows: _Rows) -> np.ndarray:
+    """Sum of the scores of a text's words in each language."""
+    total, every = np.zeros(len(rows.model.langs)), list(counts.items())
+    for start in range(0, len(every), 4096):
+        at, weights = [], []
+        for word, n in every[start : start + 4096]:
+            found = rows[word]
+            if len(found) == 1:
+                at.append(found[0])
+                weights.append(n)
+            elif found:
+                at.extend(found)
+                weights.extend([n / len(found)] * len(found))
+        total += np.array(weights, float) @ rows.model.logs[np.array(at, np.int64)]
+    return total
+
+
 def predictor(spark, model: Model):
     """A column function: text to (lang, score)."""
     sent = spark.sparkContext.broadcast(model)
@@ -149,7 +172,7 @@ def predictor(spark, model: Model):
 
     @pandas_udf(kind)
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scores, langs = _Scores(sent.value), sent.value.langs
+        rows, langs = _Rows(sent.value), sent.value.langs
         for text in texts:
             found = []
             for t in text:
@@ -157,11 +180,7 @@ def predictor(spark, model: Model):
                 if not words or not langs:
                     found.append((UNKNOWN, 0.0))
                     continue
-                total = np.zeros(len(langs))
-                for start in range(0, len(words), 4096):
-                    some = list(words.items())[start : start + 4096]
-                    table = np.array([scores[w] for w, _ in some])
-                    total += np.array([n for _, n in some]) @ table
+                total = _total(words, rows)
                 odds = np.exp(total - total.max())
                 best = int(total.argmax())
                 found.append((langs[best], float(odds[best] / odds.sum())))
