@@ -6,16 +6,18 @@ reaches in; its matrix holds the best score from each such state to each at its
 matrices of a text combine associatively, which gives every chunk its entry and exit, and
 then every chunk is traced back on its own.
 
-Where a space follows something else no piece can cross, so what lies between two such
-places is segmented alone, and once for each distinct word.
+Where no piece can cross, as before the space between two words or where two neighbours
+are in no piece, what lies between is segmented alone, and once for each distinct part.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -25,8 +27,8 @@ from floodplan.session import settle
 
 #: Code points in a chunk; shorter texts are one chunk.
 CHUNK = 32_768
-#: Words whose segmentation a task remembers.
-REMEMBERED = 200_000
+#: Words whose segmentation a process remembers.
+REMEMBERED = 400_000
 SPACE, LITERAL = "▁", "\ud800"  # a surrogate stands for a text's own U+2581
 LOWEST = -np.inf
 
@@ -38,6 +40,7 @@ class Pieces:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.key = xxhash.xxh3_128_hexdigest(model.serialized_model_proto())
         ids = range(model.get_piece_size())
         self.text = [model.id_to_piece(i) for i in ids]
         self.byte = {int(self.text[i][3:-1], 16): i for i in ids if model.is_byte(i)}
@@ -50,8 +53,11 @@ class Pieces:
         #: A character without a piece costs more than any piece; it becomes its bytes.
         self.unknown = min(s for s, _ in self.score.values() if s > -1e8) - 10.0
         self.longest = max(map(len, self.score))
-        inner = any(SPACE in p.lstrip(SPACE) for p in self.score)
-        self.splits = not inner
+        #: Every beginning of a piece: its score and id, or a score that never wins.
+        self.prefix = {p[:k]: (LOWEST, -1) for p in self.score for k in range(1, len(p))} | self.score
+        #: Neighbours inside some piece; between any others no piece goes across.
+        self.joined = {p[k : k + 2] for p in self.score for k in range(len(p) - 1)}
+        self.splits = not any(pair[1] == SPACE and pair[0] != SPACE for pair in self.joined)
         self.decoded = [b""] * len(self.text)
         for piece, (_, i) in self.score.items():
             self.decoded[i] = piece.replace(SPACE, " ").encode()
@@ -67,20 +73,28 @@ def best_paths(pieces: Pieces, text: str, start: int, stop: int) -> tuple[list[f
     end = len(text)
     score, back = [LOWEST] * (end + 1), [()] * (end + 1)
     score[start] = 0.0
-    known, longest, unknown = pieces.score, pieces.longest, pieces.unknown
+    known, unknown = pieces.prefix.get, (pieces.unknown, -1)
     for i in range(start, min(stop, end)):
         here = score[i]
         if here == LOWEST:
             continue
-        single = False
-        for j in range(i + 1, min(end, i + longest) + 1):
-            found = known.get(text[i:j])
-            if found:
-                single = single or j == i + 1
-                if here + found[0] > score[j]:
-                    score[j], back[j] = here + found[0], (i, found[1])
-        if not single and here + unknown > score[i + 1]:
-            score[i + 1], back[i + 1] = here + unknown, (i, -1)
+        j = i + 1
+        found = known(text[i:j]) or unknown
+        if found[1] < 0:
+            if here + unknown[0] > score[j]:
+                score[j], back[j] = here + unknown[0], (i, -1)
+            if found is unknown:
+                continue
+        elif here + found[0] > score[j]:
+            score[j], back[j] = here + found[0], (i, found[1])
+        while j < end:
+            j += 1
+            found = known(text[i:j])
+            if found is None:
+                break
+            value = here + found[0]
+            if value > score[j]:
+                score[j], back[j] = value, (i, found[1])
     return score, back
 
 
@@ -108,12 +122,30 @@ class Words(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        _, back = best_paths(self.pieces, word, 0, len(word))
-        ids = np.array(traced(self.pieces, word, back, 0, len(word)), np.int32).tobytes()
+        joined = self.pieces.joined
+        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in joined]
+        if cuts:
+            ids = b"".join([self[word[a:b]] for a, b in zip([0, *cuts], [*cuts, len(word)])])
+        else:
+            _, back = best_paths(self.pieces, word, 0, len(word))
+            ids = array("i", traced(self.pieces, word, back, 0, len(word))).tobytes()
         self[word] = ids
         return ids
 
 
+_WORDS: dict[str, Words] = {}
+
+
+def remembered(model) -> Words:
+    """The words that this process has segmented with a model, for one task after another."""
+    pieces = model.value
+    words = _WORDS.get(pieces.key)
+    if words is None:
+        _WORDS.clear()
+        words = _WORDS[pieces.key] = Words(pieces)
+    return words
+
+
 def marked(text: str, first: bool) -> str:
     text = text.replace(SPACE, LITERAL).replace(" ", SPACE)
     return SPACE + text if first else text
@@ -207,7 +239,7 @@ def load(spark: SparkSession, path: str):
 def _encoder(model):
     @pandas_udf(ArrayType(IntegerType()))
     def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = Words(model.value)
+        words = remembered(model)
         for text in texts:
             yield pd.Series(
                 [None if t is None else np.frombuffer(encode_words(words, marked(t, bool(t))), np.int32) for t in text],
@@ -286,7 +318,7 @@ def _giant_ids(texts: DataFrame, model, chunk: int) -> DataFrame:
         )
 
     def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Words(model.value)
+        words = remembered(model)
         for batch in batches:
             found = [
                 Chunk(model.value, r.raw, min(chunk, len(r.raw)), r.number == 0).ids(words, r.entry, r.leave)
