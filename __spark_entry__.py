@@ -300,6 +300,24 @@ def tracker_stream(spark, sf_dir):
     return spark.read.schema(updates.schema).json(sink)
 
 
+def tracker_stream_unordered(spark, sf_dir):
+    """Each city's arrivals and total after a stream of 24 batches in no order of time."""
+    spark = _stream_session(spark)
+    source, sink = _scratch(spark, "messages"), _scratch(spark, "updates")
+    messages = _messages(fixtures.refugee_events(spark, sf_dir)).drop("at_ms")
+    messages.repartition(24, "event_id").write.json(source)
+    arrivals, _ = parse_events(read_message_files(spark, source, max_files=1))
+    updates = track_refugees(arrivals, WINDOW_SECONDS)
+    writer = write_message_files(updates, sink, _scratch(spark, "checkpoint"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    told = spark.read.schema(updates.schema).json(sink).filter("arrival = 1")
+    return told.groupBy("city_id").agg(
+        F.count("*").alias("n_arrivals"),
+        F.countDistinct("event_id").alias("n_events"),
+        F.max("refugees").alias("refugees"),
+    )
+
+
 def tracker_stream_ranged(spark, sf_dir):
     """The same stream, each half cut into ranges instead of cities."""
     spark = _stream_session(spark)
@@ -428,6 +446,7 @@ def own_queries() -> dict[str, Query]:
         "unassigned": unassigned,
         "tracker_batch": batch_updates,
         "tracker_stream": tracker_stream,
+        "tracker_stream_unordered": tracker_stream_unordered,
         "tracker_stream_ranged": tracker_stream_ranged,
         "updates_json": updates_json,
         "updates_enriched": updates_enriched,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # Highest rise that leaves a safe place: in one low country, and on the whole earth.
 MAX_RISE_COUNTRY = 95
 MAX_RISE_PLANET = 8848
@@ -12,10 +14,9 @@ def _whole_number(value, what: str) -> int:
         raise ValueError(f"{what} must be a whole number, not {value!r}")
     if isinstance(value, int):
         return value
-    try:
-        return int(str(value).strip(), 10)
-    except ValueError:
-        raise ValueError(f"{what} must be a whole number, not {value!r}") from None
+    if not re.fullmatch("-?[0-9]+", str(value)):
+        raise ValueError(f"{what} must be a whole number, not {value!r}")
+    return int(value)
 
 
 def check_rise(value, maximum: int = MAX_RISE_PLANET) -> int:

@@ -33,26 +33,30 @@ def read_elevation(spark: SparkSession, path: str, format: str = "parquet") -> D
 def read_city_features(spark: SparkSession, path: str) -> DataFrame:
     """Cities of GeoJSON FeatureCollections: id, name, population and the feature.
 
-    A feature without id, name or population is skipped. A collection is one JSON
-    document, which one task has to parse; its features are spread right after.
+    A feature without id, name or population is skipped; a document that is broken or no
+    FeatureCollection is an error. A collection is one JSON document, which one task has to
+    parse; its cities are spread evenly right after.
     """
-    document = spark.read.schema(schemas.FEATURE_COLLECTION).json(path, multiLine=True)
-    features = document.filter(F.col("type") == "FeatureCollection").select(
-        F.explode("features").alias("feature")
+    document = spark.read.schema(schemas.FEATURE_COLLECTION).json(
+        path, multiLine=True, mode="FAILFAST"
     )
-    cities = features.repartition("feature.properties.geoname_id").select(
+    wrong = F.raise_error(F.concat(F.lit("no FeatureCollection but "), F.coalesce("type", F.lit("none"))))
+    listed = F.when(F.col("type") == "FeatureCollection", F.col("features")).otherwise(wrong)
+    features = document.select(F.explode(listed).alias("feature"))
+    cities = features.select(
         parse_id(F.col("feature.properties.geoname_id")).alias("city_id"),
         F.col("feature.properties.name").alias("name"),
         F.col("feature.properties.population").alias("population"),
         "feature",
     )
-    return cities.filter(
+    good = cities.filter(
         F.col("city_id").isNotNull()
         & (F.col("city_id") >= 0)
         & F.col("name").isNotNull()
         & F.col("population").isNotNull()
         & (F.col("population") >= 0)
     )
+    return good.repartition(spark.sparkContext.defaultParallelism)
 
 
 def write_plan(plan: DataFrame, path: str) -> None:

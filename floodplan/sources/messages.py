@@ -27,13 +27,14 @@ def read_kafka(
 ) -> DataFrame:
     """Messages of a topic: key and value as text, and event_id.
 
-    Needs the Kafka connector package on the session's class path.
+    From the earliest that the topic holds, unless ``startingOffsets`` says otherwise. Needs the Kafka connector package on the session's class path.
     """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("maxOffsetsPerTrigger", max_offsets)
+        .option("startingOffsets", "earliest")
         .options(**options)
     )
     return reader.load().select(

@@ -42,10 +42,14 @@ def run(
     time_mode: str = PROCESSING_TIME,
     watermark: str = "1 millisecond",
     trigger: str = "500 milliseconds",
+    **options: str,
 ) -> list[StreamingQuery]:
-    """Start the tracker on Kafka; malformed messages go to a folder of their own."""
+    """Start the tracker on Kafka; malformed messages go to a folder of their own.
+
+    Further options go to the source.
+    """
     window_seconds = check_window(window_seconds)
-    messages = read_kafka(spark, servers, EVENTS_TOPIC)
+    messages = read_kafka(spark, servers, EVENTS_TOPIC, **options)
     updates, malformed = updates_of(messages, window_seconds, time_mode, watermark)
     writers = [
         write_kafka(updates, servers, f"{checkpoint}/updates", UPDATES_TOPIC),

@@ -111,12 +111,17 @@ class RefugeeTracker(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frames = list(rows)
+        frames = [frame[~frame["clock"].to_numpy(bool)] for frame in rows]
+        if not sum(map(len, frames)):
+            return
         arrived = np.stack([_column(frames, c).astype("int64") for c in PENDING])
         if self.time_mode == PROCESSING_TIME:
             arrived[0] = timerValues.getCurrentProcessingTimeInMs()
         city = self._city() or City()
         until = int(arrived[0].max())
+        if self.time_mode == EVENT_TIME:
+            # What comes after its window has passed leaves at once.
+            until = max(until, timerValues.getCurrentWatermarkInMs())
         leaving = arrived.copy()
         leaving[0] += self.window_ms
         # An arrival may leave again within the same batch.
@@ -237,9 +242,11 @@ def track_refugees(
     """One update per arrival, and one more when it leaves the window.
 
     ``arrivals`` has ts, city_id, city_name, refugees and event_id, which orders equal
-    times. In event time a replay always gives the same updates: rows later than
-    ``watermark`` behind the newest are dropped, so give it a stream's disorder. In
-    processing time updates follow the clock; keep the trigger well below the window.
+    times. In event time an arrival counts however late it is: only the rows that move the
+    clock carry a time that Spark may find late, and they carry nothing else. An arrival
+    later than ``watermark`` behind the newest is told after what was told already, and if
+    its window has passed it leaves at once. Totals don't depend on batches. In processing
+    time updates follow the clock; keep the trigger well below the window.
 
     The arrivals of one city are one sequence, so a batch's rows of a city meet in one
     task; the source's limit per trigger bounds them, and they are summed as arrays.
@@ -255,7 +262,11 @@ def track_refugees(
         "ts", F.unix_millis("ts").alias("at_ms"), "city_id", "city_name", "refugees", "event_id"
     )
     if time_mode == EVENT_TIME:
+        both = keyed.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("clock"))
+        keyed = both.withColumn("ts", F.when(F.col("clock"), F.col("ts")))
         keyed = keyed.withWatermark("ts", watermark)
+    else:
+        keyed = keyed.withColumn("clock", F.lit(False))
     return keyed.groupBy("city_id").transformWithStateInPandas(
         statefulProcessor=RefugeeTracker(window_seconds, time_mode),
         outputStructType=UPDATES,

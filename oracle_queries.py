@@ -259,6 +259,9 @@ FINAL = {
     "tracker_stream": f"SELECT {MOVE_COLUMNS} FROM updates u "
     "WHERE arrival = 1 OR at_ms < (SELECT max(epoch_us(ts) // 1000) FROM refugee_events) OR "
     "at_ms <= (SELECT max(epoch_us(ts) // 1000) FROM refugee_events e WHERE e.city_id = u.city_id)",
+    "tracker_stream_unordered": "SELECT city_id, count(*) AS n_arrivals, "
+    "count(DISTINCT event_id) AS n_events, sum(refugees)::BIGINT AS refugees "
+    "FROM refugee_events GROUP BY city_id",
     "tracker_stream_ranged": f"SELECT {MOVE_COLUMNS} FROM updates "
     "WHERE at_ms <= (SELECT max(epoch_us(ts) // 1000) FROM refugee_events)",
     "updates_json": """

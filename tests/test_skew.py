@@ -14,7 +14,7 @@ def frames(spark):
 def test_same_rows_as_a_plain_join(spark):
     rows, lookup, sizes = frames(spark)
     for how in ("inner", "left", "left_anti"):
-        spread = spread_join(rows, lookup, ["k"], "id", sizes, how, shares=10, min_rows=10)
+        spread = spread_join(rows, lookup, ["k"], "id", sizes, how, shares=10)
         plain = rows.join(lookup, ["k"], how)
         assert spread.columns == plain.columns
         assert spread.exceptAll(plain).count() == 0 == plain.exceptAll(spread).count()
@@ -22,11 +22,15 @@ def test_same_rows_as_a_plain_join(spark):
 
 def test_heavy_keys_are_cut_and_few(spark):
     _, _, sizes = frames(spark)
-    heavy = {r["k"]: r["parts"] for r in heavy_keys(sizes, ["k"], 3000 / 10).collect()}
+    heavy = {r["k"]: r["parts"] for r in heavy_keys(sizes, ["k"], 10).collect()}
     assert heavy == {0: 4}
 
 
-def test_small_input_takes_a_plain_join(spark):
+def test_keys_are_split_whatever_the_size_and_no_job_runs_before(spark):
     rows, lookup, sizes = frames(spark)
-    plan = spread_join(rows, lookup, ["k"], "id", sizes)._jdf.queryExecution().toString()
-    assert "xxhash64" not in plan
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("spread", "")
+    joined = spread_join(rows.limit(5), lookup, ["k"], "id", sizes)
+    assert not tracker.getJobIdsForGroup("spread")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "xxhash64" in joined._jdf.queryExecution().toString()

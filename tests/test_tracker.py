@@ -131,7 +131,7 @@ def test_restart_and_small_chunks(spark, tmp_path):
             spark.readStream.schema(EVENTS)
             .option("maxFilesPerTrigger", 1)
             .json(source)
-            .withColumn("at_ms", F.unix_millis("ts"))
+            .withColumns({"at_ms": F.unix_millis("ts"), "clock": F.lit(False)})
             .withWatermark("ts", "1 millisecond")
         )
         updates = stream.groupBy("city_id").transformWithStateInPandas(
@@ -157,6 +157,23 @@ def test_restart_and_small_chunks(spark, tmp_path):
     assert found == emitted(rows, 30)
 
 
+def test_late_arrivals_count_whatever_the_batches(spark, tmp_path):
+    """One file a batch; some arrivals are four batches late, one after its window."""
+    on_time = [(i, START + 20 * i, 1 + i % 2, 10) for i in range(1, 6)]
+    late = [(20, START + 1, 1, 100), (21, START + 95, 2, 7)]
+    for row in on_time + late:
+        events(spark, [row]).coalesce(1).write.mode("append").json(f"{tmp_path}/in")
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in")
+    writer = track_refugees(stream, 30).writeStream.format("parquet")
+    writer = writer.option("path", f"{tmp_path}/out")
+    writer = writer.option("checkpointLocation", f"{tmp_path}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    told = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(r.event_id for r in told.filter("arrival = 1").collect()) == [1, 2, 3, 4, 5, 20, 21]
+    totals = told.groupBy("city_id").agg(F.max("refugees").alias("n")).collect()
+    assert {r.city_id: r.n for r in totals} == {1: 120, 2: 37}
+
+
 def test_malformed_message_does_not_stop_the_stream(spark, tmp_path):
     lines = [
         '{"key": "1", "value": "{\\"timestamp\\":1000,\\"city_id\\":1,\\"city_name\\":\\"a\\",\\"refugees\\":4}", "event_id": 1}',
