@@ -35,7 +35,7 @@ from floodplan.streaming.tracker import encode_updates, parse_events, track_refu
 try:
     import corpus_pipeline
     from floodplan.llm import queries as llm_queries
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if missing.name not in ("corpus_pipeline", "floodplan.llm"):
         raise
     corpus_pipeline = llm_queries = None
