@@ -8,6 +8,7 @@ No link between fingerprints is missed.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,10 +19,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, LongType
 
 from floodplan.llm.components import components, forest
 from floodplan.llm.text import with_row
@@ -48,17 +48,29 @@ class Scheme:
     tile: int = 1024
     #: Parts of a fingerprint whose population counts place it in a tile.
     parts: int = 4
+    #: Population counts are taken in bands of so many.
+    band: int = 1
+    #: If given, texts whose numbers of distinct shingles exclude this similarity are not
+    #: compared: of sets with that similarity, the smaller has at least that share of the larger.
+    similarity: float | None = None
 
     @property
     def base(self) -> int:
-        return 64 * self.width // self.parts + 1
+        return 64 * self.width // self.parts // self.band + 1
+
+    def step(self, shingles: int) -> int:
+        """Similar texts have equal or neighbouring steps; one without shingles has step 0."""
+        if self.similarity is None or not shingles:
+            return 0
+        # A little wider than asked, so that rounding parts nothing.
+        return 1 + math.floor(math.log(shingles) / (1e-4 - math.log(self.similarity)))
 
 
 #: 64 bits of 3-word shingles, 3 bits apart.
 NARROW = Scheme()
 #: 256 bits of 5-word shingles. Texts with a Jaccard similarity of 0.8 differ in 39 bits on
 #: average with a deviation of 6, those with 0.9 in 27 and those with 0.7 in 49.
-WIDE = Scheme(shingle=5, width=4, radius=44, tile=8192, parts=1)
+WIDE = Scheme(shingle=5, width=4, radius=44, tile=8192, parts=1, band=16, similarity=0.8)
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
@@ -72,52 +84,73 @@ def word_blocks(text: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
-def fingerprint(text: str | None, scheme: Scheme = NARROW) -> np.ndarray:
-    """SimHash of the text's shingles, repeats included, as words of 64 bits.
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The k-th word of each hash: the hash itself, then independent functions of it."""
+    if not k:
+        return hashes
+    x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def profile(text: str | None, scheme: Scheme = NARROW) -> tuple[np.ndarray, int]:
+    """SimHash of the text's shingles, repeats included, as words of 64 bits, and its step.
 
-    A text of fewer words has one shingle, the whole; one without words gives zero. Further
-    words of a fingerprint come from further seeds.
+    A text of fewer words has one shingle, the whole; one without words gives zero. The
+    first word takes a shingle's hash, further words take it mixed.
     """
     ones, total, tail = np.zeros((scheme.width, 64), np.int64), 0, []
+    distinct = np.zeros(0, np.uint64)
     n = scheme.shingle
 
-    def add(runs: list[bytes]) -> None:
+    def add(runs: list[bytes]) -> np.ndarray:
+        hashes = np.array([xxhash.xxh64_intdigest(r, SEED) for r in runs], np.uint64)
         for k in range(scheme.width):
-            hashes = np.array([xxhash.xxh64_intdigest(r, SEED + k) for r in runs], np.uint64)
-            octets = hashes.view(np.uint8).reshape(-1, 8)
+            octets = _mixed(hashes, k).view(np.uint8).reshape(-1, 8)
             ones[k] += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        return distinct if scheme.similarity is None else np.union1d(distinct, hashes)
 
     for block in word_blocks((text or "").encode("utf-8", "surrogatepass").lower()):
         words = tail + block
         runs = list(map(b" ".join, zip(*(words[i:] for i in range(n)))))
         if runs:
-            add(runs)
+            distinct = add(runs)
             total += len(runs)
         tail = words[-(n - 1) :]
     if not total and tail:
-        add([b" ".join(tail)])
+        distinct = add([b" ".join(tail)])
         total = 1
-    return np.packbits(2 * ones > total, axis=1, bitorder="little").view(np.int64)[:, 0]
+    words = np.packbits(2 * ones > total, axis=1, bitorder="little").view(np.int64)[:, 0]
+    return words, scheme.step(len(distinct))
 
 
-def fingerprints(scheme: Scheme):
-    @pandas_udf(ArrayType(LongType()))
-    def of(text: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, scheme) for t in text], index=text.index)
+def profiles(scheme: Scheme):
+    """A column function: (print, step) of a text."""
+
+    @pandas_udf("print array<bigint>, step int")
+    def of(text: pd.Series) -> pd.DataFrame:
+        found = [profile(t, scheme) for t in text]
+        return pd.DataFrame(
+            {"print": pd.Series([p for p, _ in found], dtype=object), "step": [s for _, s in found]}
+        )
 
     return of
 
 
 def _counts(scheme: Scheme) -> list:
-    """The population count of each part of a fingerprint."""
+    """The band of the population count of each part of a fingerprint."""
     if scheme.parts == 1:
         words = [F.bit_count(F.col("print")[k]) for k in range(scheme.width)]
-        return [reduce(lambda x, y: x + y, words).cast("int")]
+        return [F.floor(reduce(lambda x, y: x + y, words) / scheme.band).cast("int")]
     bits = 64 * scheme.width // scheme.parts
     low = F.lit((1 << bits) - 1)
     return [
-        F.bit_count(
-            F.shiftrightunsigned(F.col("print")[i * bits // 64], i * bits % 64).bitwiseAND(low)
+        F.floor(
+            F.bit_count(
+                F.shiftrightunsigned(F.col("print")[i * bits // 64], i * bits % 64).bitwiseAND(low)
+            )
+            / scheme.band
         ).cast("int")
         for i in range(scheme.parts)
     ]
@@ -128,8 +161,9 @@ def _key(counts: list, scheme: Scheme) -> F.Column:
 
 
 def tiles(prints: DataFrame, scheme: Scheme) -> DataFrame:
-    """(key, part, ids, prints): fingerprints by their counts, about ``tile`` in each."""
-    keyed = prints.select("id", "print", _key(_counts(scheme), scheme).alias("key"))
+    """(key, part, ids, prints): fingerprints by step and counts, about ``tile`` in each."""
+    place = _key([F.col("step"), *_counts(scheme)], scheme)
+    keyed = prints.select("id", "print", place.alias("key"))
     parts = keyed.groupBy("key").agg(F.ceil(F.count("*") / scheme.tile).alias("parts"))
     spread = keyed.join(parts, "key").withColumn(
         "part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
@@ -143,24 +177,30 @@ def tiles(prints: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def _near_keys(keys: DataFrame, scheme: Scheme) -> DataFrame:
-    """(key, other): keys whose counts differ by at most the radius in sum, each pair once.
+    """(key, other): keys that may hold near fingerprints, each pair once.
 
-    There are at most 17^4 keys of four quarters, or 257 of 256 bits, whatever the data.
+    Their steps are neighbours and their counts differ by at most the radius in sum. Keys
+    are at most 17^4 for four quarters, or 17 for each step of 256 bits, whatever the data.
     """
     r, parts, base = scheme.radius, scheme.parts, scheme.base
+    gap = lambda d: max(0, (abs(d) - 1) * scheme.band + 1) if d else 0
+    reach = range(-(r // scheme.band) - 1, r // scheme.band + 2)
+    steps = (0,) if scheme.similarity is None else (0, 1)
     shifts = [
         d
-        for d in product(range(-r, r + 1), repeat=parts)
-        if sum(map(abs, d)) <= r and d >= (0,) * parts
+        for d in product(steps, *[reach] * parts)
+        if sum(map(gap, d[1:])) <= r and d >= (0,) * (parts + 1)
     ]
     shift = F.explode(F.array(*[F.array(*map(F.lit, d)) for d in shifts])).alias("shift")
-    there = [
+    step = F.floor(F.col("key") / base**parts).cast("int") + F.col("shift")[0]
+    counts = [
         F.pmod(F.floor(F.col("key") / base ** (parts - 1 - i)), F.lit(base)).cast("int")
-        + F.col("shift")[i]
+        + F.col("shift")[i + 1]
         for i in range(parts)
     ]
-    inside = reduce(lambda x, y: x & y, [c.between(0, base - 1) for c in there])
-    return keys.select("key", shift).filter(inside).select("key", _key(there, scheme).alias("other"))
+    inside = reduce(lambda x, y: x & y, [c.between(0, base - 1) for c in counts])
+    other = _key([step, *counts], scheme).alias("other")
+    return keys.select("key", shift).filter(inside).select("key", other)
 
 
 def near_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -222,18 +262,23 @@ def links(prints: DataFrame, scheme: Scheme = NARROW) -> DataFrame:
 
 
 def _labelled(prints: DataFrame, scheme: Scheme) -> DataFrame:
-    """(print, root, component_id) for a settled table (doc_id, print)."""
+    """(print, step, root, component_id) for a settled table (doc_id, print, step)."""
     first = settle(
-        prints.groupBy("print")
+        prints.groupBy("print", "step")
         .agg(F.min("doc_id").alias("first_id"))
         .withColumn("id", F.monotonically_increasing_id())
     )
-    root = components(links(first, scheme))
+    near = links(first, scheme)
+    if scheme.similarity is not None:
+        # Equal fingerprints are linked whatever their steps, of which there are few.
+        equal = first.select("id", F.min("id").over(Window.partitionBy("print")).alias("b"))
+        near = near.union(equal.filter("id <> b"))
+    root = components(near)
     joined = first.join(root, F.col("id") == F.col("node"), "left").select(
-        "print", "first_id", F.coalesce("component", "id").alias("root")
+        "print", "step", "first_id", F.coalesce("component", "id").alias("root")
     )
     smallest = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return joined.join(smallest, "root").select("print", "root", "component_id")
+    return joined.join(smallest, "root").select("print", "step", "root", "component_id")
 
 
 def simhash_components(docs: DataFrame, scheme: Scheme = NARROW) -> DataFrame:
@@ -243,9 +288,11 @@ def simhash_components(docs: DataFrame, scheme: Scheme = NARROW) -> DataFrame:
     linked like any copies. A null doc_id takes part and never names a component, unless
     the component has no other. An empty table gives no rows.
     """
-    prints = settle(docs.select("doc_id", fingerprints(scheme)("text").alias("print")))
+    prints = settle(
+        docs.select("doc_id", profiles(scheme)("text").alias("p")).select("doc_id", "p.print", "p.step")
+    )
     digits = [F.lpad(F.lower(F.hex(F.col("print")[k])), 16, "0") for k in range(scheme.width)]
-    return prints.join(_labelled(prints, scheme), "print").select(
+    return prints.join(_labelled(prints, scheme), ["print", "step"]).select(
         "doc_id", F.concat(*digits).alias("fingerprint"), "component_id"
     )
 
@@ -260,13 +307,13 @@ def drop_near_copies(docs: DataFrame, scheme: Scheme = WIDE) -> DataFrame:
             docs,
             rid=F.monotonically_increasing_id(),
             doc_id=F.col("doc_id"),
-            print=fingerprints(scheme)("text"),
+            p=profiles(scheme)("text"),
         )
     )
-    prints = rows.select("rid", "doc_id", "print")
+    prints = rows.select("rid", "doc_id", "p.print", "p.step")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "rid")
     kept = (
-        prints.join(_labelled(prints, scheme), "print")
+        prints.join(_labelled(prints, scheme), ["print", "step"])
         .groupBy("root")
         .agg(F.min_by("rid", order).alias("rid"))
     )

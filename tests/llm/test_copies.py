@@ -83,6 +83,38 @@ def test_one_of_each_group_stays(spark):
     assert simhash.drop_near_copies(table.limit(0)).count() == 0
 
 
+def test_wide_tiles_miss_no_link(spark):
+    """Groups against all pairs: near fingerprints with neighbouring steps, or equal ones."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [None, "", "one", "one two", "one two three four five six"]
+    for _ in range(12):
+        base = rng.choices(words, k=rng.choice([6, 30, 60, 240, 900]))
+        for _ in range(10):
+            copy = list(base)
+            for _ in range(rng.choice([0, 1, 2, len(base) // 40])):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            texts.append(" ".join(copy + rng.choices(words, k=rng.choice([0, 0, 1, len(base) // 10]))))
+    texts += [" ".join([texts[-1]] * 8)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scheme = simhash.WIDE
+    known = [simhash.profile(t, scheme) for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in ((t or "").split() for t in texts)]
+    pairs = []
+    for (i, (p, s)), (j, (q, t)) in itertools.combinations(enumerate(known), 2):
+        apart = int(np.bitwise_count((p ^ q).view(np.uint64)).sum())
+        if apart == 0 or (apart <= scheme.radius and abs(s - t) <= 1):
+            pairs.append((i, j))
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and texts[i] and texts[j]:
+            assert abs(s - t) <= 1
+    assert len(pairs) > 50
+    low = groups(range(len(texts)), pairs)
+    found = simhash.simhash_components(table, scheme).collect()
+    assert {r.doc_id: r.component_id for r in found} == low
+    kept = {r.doc_id for r in simhash.drop_near_copies(table).collect()}
+    assert kept == set(low.values())
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(40, 8))
