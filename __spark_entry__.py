@@ -21,6 +21,8 @@ from floodplan.session import settle, shared_dir
 from floodplan.sources import fixtures
 from floodplan.sources.files import (
     read_city_features,
+    read_elevation,
+    read_nodes,
     read_plan,
     write_bucketed,
     write_destinations,
@@ -28,6 +30,7 @@ from floodplan.sources.files import (
 )
 from floodplan.sources.messages import read_message_files, write_message_files
 from floodplan.streaming import updates as U
+from floodplan.streaming.job import enriched_updates
 from floodplan.streaming.ranged import read_updates, track_in_ranges
 from floodplan.streaming.replay import tracker_batch
 from floodplan.streaming.tracker import encode_updates, parse_events, track_refugees
@@ -184,6 +187,26 @@ def nearest_city_ring(spark, sf_dir):
     return N.nearest_city(flood, safe, N.Search("ring"))
 
 
+def nearest_city_bounded(spark, sf_dir):
+    flood, safe, _ = _sides(spark, sf_dir)
+    return N.nearest_city(flood, safe, N.Search(max_distance=oracle_queries.MAX_DISTANCE))
+
+
+def nodes_orc(spark, sf_dir):
+    """The map written as ORC and read back."""
+    path = _scratch(spark, "nodes")
+    fixtures.nodes(spark, sf_dir).write.orc(path)
+    return P.extract_tags(read_nodes(spark, path))
+
+
+def elevation_parquet(spark, sf_dir):
+    """The lowest samples of several folders that one glob names."""
+    path = _scratch(spark, "samples")
+    samples = fixtures.elevation(spark, sf_dir)
+    samples.withColumn("tile", F.floor(F.col("lat") / 20)).write.partitionBy("tile").parquet(path)
+    return E.min_elevation(read_elevation(spark, f"{path}/tile=*"))
+
+
 def nearest_harbour_ring(spark, sf_dir):
     flood, _, harbour = _sides(spark, sf_dir)
     return N.nearest_harbour(flood, harbour, N.Search("ring", fallback=False))
@@ -305,7 +328,8 @@ def tracker_stream_unordered(spark, sf_dir):
     spark = _stream_session(spark)
     source, sink = _scratch(spark, "messages"), _scratch(spark, "updates")
     messages = _messages(fixtures.refugee_events(spark, sf_dir)).drop("at_ms")
-    messages.repartition(24, "event_id").write.json(source)
+    junk = messages.filter("event_id % 100 = 7").withColumn("value", F.left("value", F.lit(20)))
+    messages.unionByName(junk).repartition(24, "event_id").write.json(source)
     arrivals, _ = parse_events(read_message_files(spark, source, max_files=1))
     updates = track_refugees(arrivals, WINDOW_SECONDS)
     writer = write_message_files(updates, sink, _scratch(spark, "checkpoint"))
@@ -376,6 +400,42 @@ def updates_enriched(spark, sf_dir):
     return U.enrich_updates(batch_updates(spark, sf_dir), large_cities(spark, sf_dir))
 
 
+def updates_enriched_stream(spark, sf_dir):
+    """The consumer on a stream of updates; some name an unknown city or none, some are junk."""
+    spark = _stream_session(spark)
+    source, sink = _scratch(spark, "topic"), _scratch(spark, "enriched")
+    city = F.expr(
+        "CASE event_id % 50 WHEN 0 THEN NULL WHEN 1 THEN city_id + 1000000000 ELSE city_id END"
+    )
+    messages = encode_updates(batch_updates(spark, sf_dir).withColumn("city_id", city))
+    value = F.when(F.col("event_id") % 50 == 2, "no update").otherwise(F.col("value"))
+    messages.withColumn("value", value).write.json(source)
+    cities = settle(U.large_cities(_city_table(spark, sf_dir)))
+    stream = read_message_files(spark, source, schema=messages.schema)
+    enriched = enriched_updates(stream, cities).select(
+        "count",
+        "change",
+        "city_id",
+        "at_ms",
+        "arrival",
+        "event_id",
+        "name",
+        "population",
+        F.col("feature.geometry.type").alias("geometry"),
+    )
+    writer = write_message_files(enriched, sink, _scratch(spark, "checkpoint"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(enriched.schema).json(sink)
+
+
+def malformed_messages(spark, sf_dir):
+    """What is set aside where one message in a hundred is cut short."""
+    messages = _messages(fixtures.refugee_events(spark, sf_dir)).drop("at_ms")
+    cut = F.when(F.col("event_id") % 100 == 7, F.left("value", F.lit(20))).otherwise(F.col("value"))
+    _, malformed = parse_events(messages.withColumn("value", cut))
+    return malformed.select("key", "event_id", F.length("value").alias("n_chars"))
+
+
 def city_latest(spark, sf_dir):
     return U.latest_by_city(batch_updates(spark, sf_dir), ("at_ms", "arrival", "event_id"))
 
@@ -450,6 +510,11 @@ def own_queries() -> dict[str, Query]:
         "tracker_stream_ranged": tracker_stream_ranged,
         "updates_json": updates_json,
         "updates_enriched": updates_enriched,
+        "updates_enriched_stream": updates_enriched_stream,
+        "malformed_messages": malformed_messages,
+        "nearest_city_bounded": nearest_city_bounded,
+        "nodes_orc": nodes_orc,
+        "elevation_parquet": elevation_parquet,
         "city_latest": city_latest,
         "city_intensity": city_intensity,
         "large_cities": large_cities,

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from floodplan.functions.checks import check_window
+from floodplan.session import settle
+from floodplan.sources.files import read_city_features
 from floodplan.sources.messages import (
     EVENTS_TOPIC,
     UPDATES_TOPIC,
@@ -23,6 +25,7 @@ from floodplan.streaming.tracker import (
     parse_events,
     track_refugees,
 )
+from floodplan.streaming.updates import enrich_updates, large_cities, parse_updates
 
 
 def updates_of(
@@ -81,6 +84,29 @@ def run_in_ranges(
     return [writer.trigger(processingTime=trigger).start() for writer in writers]
 
 
+def enriched_updates(messages: DataFrame, cities: DataFrame) -> DataFrame:
+    """Update messages with their city's columns; those that don't parse are skipped."""
+    return enrich_updates(parse_updates(messages), cities)
+
+
+def run_consumer(
+    spark: SparkSession,
+    servers: str,
+    cities_path: str,
+    folder: str,
+    trigger: str = "500 milliseconds",
+    **options: str,
+) -> StreamingQuery:
+    """Start the consumer: updates of the topic with their large city, as JSON lines.
+
+    Further options go to the source. Cities are read once, when it starts.
+    """
+    cities = settle(large_cities(read_city_features(spark, cities_path)))
+    enriched = enriched_updates(read_kafka(spark, servers, UPDATES_TOPIC, **options), cities)
+    writer = write_message_files(enriched, f"{folder}/enriched", f"{folder}/checkpoint")
+    return writer.trigger(processingTime=trigger).start()
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Track arrivals per city.")
     parser.add_argument("window", help="length of the trailing window in seconds")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from floodplan.sources import schemas
 
 LARGE_POPULATION = 400_000
+# Copies of a city's row among which its updates are dealt.
+PARTS = 32
 
 
 def parse_updates(messages: DataFrame) -> DataFrame:
@@ -30,14 +32,18 @@ def large_cities(cities: DataFrame, min_population: int = LARGE_POPULATION) -> D
     return cities.filter(F.col("population") > min_population)
 
 
-def enrich_updates(updates: DataFrame, cities: DataFrame) -> DataFrame:
+def enrich_updates(updates: DataFrame, cities: DataFrame, parts: int = PARTS) -> DataFrame:
     """Each update with its city's columns, NULL if the city is unknown or missing.
 
     The city side is a table of its own: Spark broadcasts it if it measures small, and
-    shuffles both otherwise.
+    shuffles both otherwise. A city's updates, and those without a city, are then dealt to
+    ``parts`` copies of its row by a hash of their columns, in a stream too, where nothing
+    is split at run time.
     """
     renamed = updates.withColumnRenamed("refugees", "count").drop("city_name")
-    return renamed.join(cities, "city_id", "left")
+    dealt = renamed.withColumn("_part", F.pmod(F.xxhash64(*renamed.columns), F.lit(parts)).cast("int"))
+    copies = cities.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return dealt.join(copies, ["city_id", "_part"], "left").drop("_part")
 
 
 def latest_by_city(updates: DataFrame, order: tuple[str, ...]) -> DataFrame:

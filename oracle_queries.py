@@ -16,6 +16,7 @@ WINDOW_SECONDS = 86_400
 SAMPLE_SIZE = 10
 SAMPLE_SEED = 7
 LARGE_POPULATION = 400_000
+MAX_DISTANCE = 300
 
 
 def _cell(lat: str, lon: str, res: int) -> str:
@@ -271,6 +272,22 @@ FINAL = {
         SELECT u.refugees AS count, u.change, u.city_id, u.at_ms, u.arrival, u.event_id,
           c.name, c.population
         FROM updates u LEFT JOIN large_cities c ON c.city_id = u.city_id""",
+    "updates_enriched_stream": """
+        SELECT u.refugees AS count, u.change, u.city AS city_id, u.at_ms, u.arrival, u.event_id,
+          c.name, c.population, CASE WHEN c.city_id IS NOT NULL THEN 'Point' END AS geometry
+        FROM (
+          SELECT *, CASE event_id % 50 WHEN 0 THEN NULL WHEN 1 THEN city_id + 1000000000
+            ELSE city_id END AS city
+          FROM updates WHERE event_id % 50 <> 2) u
+        LEFT JOIN large_cities c ON c.city_id = u.city""",
+    "malformed_messages": """
+        SELECT CAST(city_id AS VARCHAR) AS key, event_id, 20 AS n_chars
+        FROM refugee_events WHERE event_id % 100 = 7""",
+    "nearest_city_bounded": _at_rise(
+        f"({_city('place').replace('FROM city_pairs', f'FROM city_pairs WHERE distance <= {MAX_DISTANCE}')})"
+    ),
+    "nodes_orc": "SELECT * FROM tagged",
+    "elevation_parquet": "SELECT * FROM lowest",
     "city_latest": "SELECT * FROM latest",
     "city_intensity": """
         SELECT city_id, city_name, refugees, change,

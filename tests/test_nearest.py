@@ -130,7 +130,7 @@ def test_brute_force(spark, case):
 
 def test_heavy_cell_is_spread(spark, monkeypatch):
     flood, refuge = world(1, flooded=300, targets=30, spread=60, hot=True)
-    eager = functools.partial(N.spread_join, shares=10, min_rows=10)
+    eager = functools.partial(N.spread_join, shares=10)
     monkeypatch.setattr(N, "spread_join", eager)
     assert search_all(spark, flood, refuge, N.Search()) == brute(flood, refuge, N.Search())
 
