@@ -117,11 +117,15 @@ def run(
     searches: tuple[Search, Search] = RING,
     place_key: str = "name",
     max_rise: int = MAX_RISE_PLANET,
+    missing_harbour: str = "far",
+    place_types: tuple[str, ...] = PLACE_TYPES,
+    lon0: float = 0.0,
 ) -> DataFrame:
     """Plan for one rise, write both outputs and return the total as a one-row frame."""
     rise = check_rise(rise, max_rise)
-    terrain = survey_terrain(read_nodes(spark, nodes_path), read_elevation(spark, elevation_path))
-    plan = settle(evacuation_plan(terrain, rise, searches, place_key))
+    nodes, samples = read_nodes(spark, nodes_path), read_elevation(spark, elevation_path)
+    terrain = survey_terrain(nodes, samples, place_types, lon0=lon0)
+    plan = settle(evacuation_plan(terrain, rise, searches, place_key, missing_harbour))
     write_plan(plan, plan_path)
     write_destinations(destination_change(plan, place_key), destinations_path)
     return total_evacuees(plan)
@@ -137,6 +141,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--search", choices=["exhaustive", "ring"], default="ring")
     parser.add_argument("--place-key", choices=["name", "id"], default="name")
     parser.add_argument("--country", action="store_true", help=f"rise up to {MAX_RISE_COUNTRY}")
+    parser.add_argument("--missing-harbour", choices=["far", "nearest"], default="far")
+    parser.add_argument("--place-types", nargs="+", default=list(PLACE_TYPES))
+    parser.add_argument("--lon0", type=float, default=0.0, help="central meridian of the region")
     given = parser.parse_args(arguments)
     max_rise = MAX_RISE_COUNTRY if given.country else MAX_RISE_PLANET
     rise = check_rise(given.rise, max_rise)
@@ -152,6 +159,9 @@ def main(arguments: list[str] | None = None) -> None:
         searches,
         given.place_key,
         max_rise,
+        given.missing_harbour,
+        tuple(given.place_types),
+        given.lon0,
     )
     print(f"sea level rise {rise} m, total evacuees {total.first()['total_evacuees']}")
     spark.stop()
