@@ -25,7 +25,7 @@ from floodplan.operators.places import (
     with_cells,
 )
 from floodplan.plans.evacuation import destination_change, relocation_plan, total_evacuees
-from floodplan.session import settle
+from floodplan.session import forget, settle
 from floodplan.sources.files import (
     read_elevation,
     read_nodes,
@@ -164,6 +164,7 @@ def main(arguments: list[str] | None = None) -> None:
         given.lon0,
     )
     print(f"sea level rise {rise} m, total evacuees {total.first()['total_evacuees']}")
+    forget(spark)
     spark.stop()
 
 

@@ -50,9 +50,21 @@ def settle(df: DataFrame) -> DataFrame:
     nor a lost executor computes it again. A later step reads only the columns it needs,
     and Spark knows the true size of the table when it picks a join.
 
-    The tables of an application lie together in one folder, to be deleted after it.
+    The tables of an application lie together in one folder; its job calls ``forget`` at
+    its end.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder in whatever store holds it; False if there was none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete the tables this application has settled; frames that read them end here."""
+    delete_folder(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")

@@ -18,6 +18,8 @@ from floodplan.session import settle
 # arrives (1).
 ORDER = ("at_ms", "arrival", "event_id")
 MOVE = ("city_id", "city_name", "event_id", "refugees", "at_ms", "arrival")
+#: Moves in a range of a finite table, about; a row takes some hundred bytes when sorted.
+ROWS_PER_RANGE = 2_000_000
 
 
 def moves(events: DataFrame, window_seconds: int) -> DataFrame:
@@ -102,8 +104,21 @@ def running_updates(
     )
 
 
+def range_count(arrivals: int, least: int, rows: int = ROWS_PER_RANGE) -> int:
+    """Ranges for so many arrivals of two moves each: they grow with the data, not in size."""
+    return max(1, least, -(-2 * arrivals // rows))
+
+
 def tracker_batch(
     events: DataFrame, window_seconds: int, partitions: int | None = None
 ) -> DataFrame:
-    """All updates of a finite table of arrivals, in any order."""
-    return running_updates(moves(events, window_seconds), partitions=partitions)
+    """All updates of a finite table of arrivals, in any order.
+
+    Without a number of ranges the arrivals are counted first, which reads none of their
+    columns, and there are at least as many ranges as shuffle partitions.
+    """
+    both = moves(events, window_seconds)
+    if partitions is None:
+        least = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = range_count(events.count(), least)
+    return running_updates(both, partitions=partitions)

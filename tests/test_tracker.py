@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from floodplan.sources.messages import read_message_files, write_message_files
 from floodplan.streaming.job import updates_of
 from floodplan.streaming.ranged import RangedTracker, read_updates, track_in_ranges
-from floodplan.streaming.replay import tracker_batch
+from floodplan.streaming.replay import range_count, tracker_batch
 from floodplan.streaming.tracker import (
     EVENT_TIME,
     PROCESSING_TIME,
@@ -67,11 +67,17 @@ def as_set(frame):
 
 
 def test_batch_equals_replay(spark):
-    for partitions in (1, 3, 8):
+    for partitions in (None, 1, 3, 8, 64):
         frame = tracker_batch(events(spark, ROWS), 10, partitions)
         assert as_set(frame) == replay(ROWS, 10)
 
 
+def test_ranges_grow_with_the_data():
+    assert range_count(0, 4) == 4
+    assert range_count(5, 1, rows=3) == 4
+    assert range_count(10**12, 200) == 10**6
+
+
 def test_batch_cuts_one_city_into_ranges(spark):
     rows = [(i, float(i // 3), i % 50 if i % 3 else 1, i % 11) for i in range(3000)]
     frame = tracker_batch(events(spark, rows), 60, 16)
