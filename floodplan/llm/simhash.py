@@ -462,19 +462,27 @@ def drop_near_copies(docs: DataFrame, scheme: Scheme = WIDE) -> DataFrame:
     return rows.join(kept.select("rid"), "rid", "left_semi").select("row.*")
 
 
+def set_print(hashes: np.ndarray, scheme: Scheme) -> np.ndarray:
+    """SimHash of a set of shingles, each counted once."""
+    ones = np.zeros((scheme.width, 64), np.int64)
+    for start in range(0, len(hashes), PIECE):
+        for k in range(scheme.width):
+            octets = _mixed(hashes[start : start + PIECE], k).view(np.uint8).reshape(-1, 8)
+            ones[k] += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), axis=1, bitorder="little").view(np.int64)[:, 0]
+
+
 def set_profiles(scheme: Scheme):
     """A column function: (print, step, digest) of a text; equal sets have equal digests."""
 
     @pandas_udf("print array<bigint>, step int, digest binary")
     def of(text: pd.Series) -> pd.DataFrame:
-        found = [(*profile(t, scheme), shingle_set(t, scheme.shingle)) for t in text]
-        return pd.DataFrame(
-            {
-                "print": pd.Series([p for p, _, _ in found], dtype=object),
-                "step": [s for _, s, _ in found],
-                "digest": [xxhash.xxh128_digest(x.tobytes(), SEED) for _, _, x in found],
-            }
-        )
+        found = []
+        for t in text:
+            hashes = shingle_set(t, scheme.shingle)
+            digest = xxhash.xxh128_digest(hashes.tobytes(), SEED)
+            found.append((set_print(hashes, scheme), scheme.step(len(hashes)), digest))
+        return pd.DataFrame(found, columns=["print", "step", "digest"])
 
     return of
 

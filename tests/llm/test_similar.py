@@ -60,3 +60,14 @@ def test_just_above_and_below(spark, monkeypatch, first):
     assert 70 < len(kept(texts)) < 200
     table = list(map(lambda t: t and t.lower(), texts))
     assert of(spark, texts) == kept(table)
+
+
+def test_repeats_count_once(spark):
+    """Passages repeated unequally don't part copies, and repeated lines don't join others."""
+    line, texts = own("line", 20), []
+    for k in range(8):
+        base = own(f"p{k}", 200)
+        texts += [" ".join(base + line * times) for times in (1, 2, 100)]
+        texts += [" ".join(own(f"{end}{k}", 200) + ["a b c d e"] * 300) for end in "qr"]
+    assert len(kept(texts)) == 24
+    assert of(spark, texts) == kept(texts)
