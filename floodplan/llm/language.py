@@ -1,9 +1,12 @@
 """Language of texts by words first, and by ever shorter character n-grams for other words.
 
-Words of all training documents are counted by language. The most frequent are known and
-score by their log frequency in each language. A word that isn't known is scored by the
-mean of its n-grams of the greatest length of which any is known. A price for each step
-down would be the same for all languages and so change nothing.
+Words of all training documents are counted by language. Known words score by their log
+frequency in each language. A word that isn't known is scored by the mean of its n-grams of
+the greatest length of which any is known. A price for each step down would be the same for
+all languages and so change nothing.
+
+``language_id`` knows every word and n-gram counted: the most frequent words are sent to the
+tasks, all others are joined with the tables of counts. ``train`` makes a bounded model.
 """
 
 from __future__ import annotations
@@ -103,6 +106,15 @@ def _frequent(counts: DataFrame, key: str, most: int) -> pd.DataFrame:
     return counts.join(top.select(key), key).toPandas()
 
 
+def _grams(n: int) -> Column:
+    """``grams_of`` a column ``word``."""
+    marked = F.concat(F.lit("<"), "word", F.lit(">"))
+    places = F.sequence(F.lit(1), F.length(marked) - n + 1)
+    return F.filter(
+        F.transform(places, lambda i: F.substring(marked, i, F.lit(n))), lambda g: F.length(g) == n
+    )
+
+
 def train(docs: DataFrame, most_words: int = WORDS, most_grams: int = GRAMS) -> Model:
     """A model of all rows (text, lang) with a language.
 
@@ -114,15 +126,10 @@ def train(docs: DataFrame, most_words: int = WORDS, most_grams: int = GRAMS) ->
     langs = sorted(totals.index)
     if not langs:
         return Model([], {}, [{}] * LONGEST, np.zeros((0, 0)))
-    marked = F.concat(F.lit("<"), "word", F.lit(">"))
     tables = [_logs(_frequent(counts, "word", most_words), "word", langs, totals)]
     for n in range(1, LONGEST + 1):
-        places = F.sequence(F.lit(1), F.length(marked) - n + 1)
-        cut = F.filter(
-            F.transform(places, lambda i: F.substring(marked, i, F.lit(n))), lambda g: F.length(g) == n
-        )
         by_gram = (
-            counts.select("lang", "n", F.explode(cut).alias("gram"))
+            counts.select("lang", "n", F.explode(_grams(n)).alias("gram"))
             .groupBy("lang", "gram")
             .agg(F.sum("n").alias("n"))
         )
@@ -189,15 +196,128 @@ def predictor(spark, model: Model):
     return predict
 
 
-def language_id(docs: DataFrame) -> DataFrame:
+def _by_key(counts: DataFrame, key: str, langs: list[str], totals: list[int] | None = None) -> DataFrame:
+    """(key, all, logs): sum and smoothed log frequencies in each language of every key."""
+    by = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)) for x in langs]
+    table = settle(counts.groupBy(key).agg(F.array(*by).alias("ns"), F.sum("n").alias("all")))
+    size = table.count()
+    if totals is None:
+        sums = table.agg(*[F.sum(F.col("ns")[i]) for i in range(len(langs))]).first()
+        totals = [n or 0 for n in sums]
+    logs = [
+        F.log((F.col("ns")[i] + 0.5) / F.lit(float(n) + 0.5 * max(size, 1))) for i, n in enumerate(totals)
+    ]
+    return table.select(key, "all", F.array(*logs).alias("logs"))
+
+
+def _sums(logs: Column, langs: list[str], of=F.sum) -> Column:
+    return F.array(*[of(logs[i]) for i in range(len(langs))])
+
+
+def unseen_logs(words: DataFrame, counts: DataFrame, langs: list[str]) -> DataFrame:
+    """(word, logs) of words that were never counted, by the longest n-grams of which any was.
+
+    Of the counted words' n-grams, only those that the words have are looked at, but all are
+    counted. A word without any known n-gram is left out.
+    """
+    left, found = settle(words), []
+    for n in range(LONGEST, 0, -1):
+        if left.isEmpty():
+            break
+        cut = counts.select("lang", "n", F.explode(_grams(n)).alias("gram"))
+        known = _by_key(cut.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram", langs)
+        mine = left.select("word", F.explode(_grams(n)).alias("gram"))
+        scored = mine.join(known, "gram").groupBy("word").agg(_sums(F.col("logs"), langs, F.avg).alias("logs"))
+        found.append(settle(scored))
+        left = settle(left.join(found[-1], "word", "left_anti"))
+    none = words.select("word", F.lit(None).cast("array<double>").alias("logs")).limit(0)
+    for table in found:
+        none = none.union(table)
+    return none
+
+
+def _scan(spark, words: dict[str, int], logs: np.ndarray):
+    """A column function: (total, rest, any) of a text; rest are the words not sent along."""
+    sent = spark.sparkContext.broadcast((words, logs))
+
+    @pandas_udf("total array<double>, rest array<struct<word: string, times: long>>, any boolean")
+    def scan(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known, logs = sent.value
+        for text in texts:
+            found = []
+            for t in text:
+                total, at, times, rest = np.zeros(logs.shape[1]), [], [], []
+                counts = Counter(words_of(t))
+                for word, n in counts.items():
+                    row = known.get(word)
+                    if row is None:
+                        rest.append({"word": word, "times": n})
+                    else:
+                        at.append(row)
+                        times.append(n)
+                for start in range(0, len(at), 4096):
+                    total += np.array(times[start : start + 4096], float) @ logs[at[start : start + 4096]]
+                found.append((total, rest, bool(counts)))
+            yield pd.DataFrame(found, columns=["total", "rest", "any"])
+
+    return scan
+
+
+def language_id(docs: DataFrame, sent_words: int = WORDS) -> DataFrame:
     """(doc_id, held_out, lang_pred, score), a row for each row of ``docs``.
 
-    The model learns from documents that aren't held out and have a language. A text that is
-    null or has no letter gets ``und`` and score 0; so does any if nothing could be learned.
-    Ties go to the language that sorts first. A null doc_id isn't held out.
+    The model learns from documents that aren't held out and have a language, and knows all
+    their words; ``sent_words`` of them are sent to the tasks, which changes no result. A text
+    that is null or has no letter gets ``und`` and score 0; so does any if nothing could be
+    learned. Ties go to the language that sorts first. A null doc_id isn't held out.
     """
-    learned = train(docs.filter(~held_out(F.col("doc_id"))))
-    guess = predictor(docs.sparkSession, learned)(F.col("text"))
-    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), guess.alias("guess")).select(
-        "doc_id", "held_out", F.col("guess.lang").alias("lang_pred"), F.col("guess.score").alias("score")
+    spark = docs.sparkSession
+    learned = docs.filter(~held_out(F.col("doc_id"))).filter("lang IS NOT NULL")
+    counts = settle(word_counts(learned))
+    of_lang = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    langs = sorted(of_lang)
+    if not langs:
+        return docs.select(
+            "doc_id",
+            held_out(F.col("doc_id")).alias("held_out"),
+            F.lit(UNKNOWN).alias("lang_pred"),
+            F.lit(0.0).alias("score"),
+        )
+    known = _by_key(counts, "word", langs, [of_lang[x] for x in langs])
+    top = known.orderBy(F.desc("all"), "word").limit(sent_words).select("word", "logs").toPandas()
+    logs = np.array(top["logs"].tolist(), float).reshape(-1, len(langs))
+    scan = _scan(spark, {w: i for i, w in enumerate(top["word"])}, logs)
+    rows = settle(
+        docs.select(
+            F.monotonically_increasing_id().alias("rid"),
+            "doc_id",
+            held_out(F.col("doc_id")).alias("held_out"),
+            scan("text").alias("s"),
+        ).select("rid", "doc_id", "held_out", "s.*")
+    )
+    rest = rows.select("rid", F.explode("rest").alias("w")).select("rid", "w.word", "w.times")
+    asked = settle(rest.select("word").distinct())
+    seen = known.select("word", "logs").join(asked, "word", "left_semi")
+    unseen = unseen_logs(asked.join(known, "word", "left_anti"), counts, langs)
+    more = (
+        rest.join(seen.union(unseen), "word")
+        .select("rid", F.transform("logs", lambda x: x * F.col("times")).alias("logs"))
+        .groupBy("rid")
+        .agg(_sums(F.col("logs"), langs).alias("more"))
+    )
+    whole = F.zip_with("total", F.coalesce("more", F.array(*[F.lit(0.0)] * len(langs))), lambda x, y: x + y)
+    most = F.array_max("whole")
+    odds = F.aggregate("whole", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("most")))
+    best = F.get(F.array(*map(F.lit, langs)), (F.array_position("whole", F.col("most")) - 1).cast("int"))
+    return (
+        rows.drop("rest")
+        .join(more, "rid", "left")
+        .select("doc_id", "held_out", "any", whole.alias("whole"))
+        .withColumn("most", most)
+        .select(
+            "doc_id",
+            "held_out",
+            F.when(F.col("any"), best).otherwise(UNKNOWN).alias("lang_pred"),
+            F.when(F.col("any"), 1.0 / odds).otherwise(0.0).alias("score"),
+        )
     )
