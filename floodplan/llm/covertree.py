@@ -53,6 +53,7 @@ class CoverTree:
         n = len(points)
         order, reach = [0], [np.inf]
         near = chords(points, points[:1])[:, 0]
+        near[order] = -1.0
         while len(order) < n:
             k = int(near.argmax())
             order.append(k)
