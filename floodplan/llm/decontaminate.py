@@ -49,22 +49,26 @@ def _around(words: Column, place: Column, span: int) -> Column:
     )
 
 
-def anchors(index: DataFrame, benchmark: DataFrame, span: int = WINDOW) -> DataFrame:
+def anchors(
+    index: DataFrame, benchmark: DataFrame, span: int = WINDOW, unnamed: bool = False
+) -> DataFrame:
     """(term, item_id, context, length): the rarest term of every window and its neighbours.
 
-    Rarest by its count over all documents; ties go to the smaller term and place.
+    Rarest by its count over all documents; ties go to the smaller term and place. Texts
+    that share an id have windows of their own. Items without an id count if ``unnamed``.
     """
     counts = index.select(F.explode("terms").alias("term")).groupBy("term").count()
     items = (
-        benchmark.filter("item_id IS NOT NULL")
+        (benchmark if unnamed else benchmark.filter("item_id IS NOT NULL"))
         .select("item_id", ascii_words(F.col("text")).alias("words"))
         .filter(F.size("words") > 0)
         .distinct()
     )
     length = F.least(F.size("words"), F.lit(span))
     starts = F.sequence(F.lit(0), F.size("words") - length)
+    content = F.sha2(F.array_join("words", " ").cast("binary"), 256).alias("content")
     windows = items.select(
-        "item_id", "words", length.alias("length"), F.explode(starts).alias("start")
+        "item_id", content, "words", length.alias("length"), F.explode(starts).alias("start")
     )
     places = windows.select(
         "*", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("place")
@@ -73,7 +77,7 @@ def anchors(index: DataFrame, benchmark: DataFrame, span: int = WINDOW) -> DataF
     return (
         places.join(counts, "term", "left")
         .withColumn("around", _around(F.col("words"), F.col("place"), span))
-        .groupBy("item_id", "start", "length")
+        .groupBy("item_id", "content", "start", "length")
         .agg(F.min_by(F.struct("term", "around"), rank).alias("best"))
         .select(
             F.col("best.term").alias("term"),
@@ -85,13 +89,19 @@ def anchors(index: DataFrame, benchmark: DataFrame, span: int = WINDOW) -> DataF
     )
 
 
-def matches(index: DataFrame, benchmark: DataFrame, span: int = WINDOW, near: float = NEAR) -> DataFrame:
+def matches(
+    index: DataFrame,
+    benchmark: DataFrame,
+    span: int = WINDOW,
+    near: float = NEAR,
+    unnamed: bool = False,
+) -> DataFrame:
     """(doc_id, text_key, item_id, kind, first, last): places of exact and proximity matches.
 
     ``first`` and ``last`` are word positions; an exact match is a run of words that equal an
     item's around one anchor, and so overlaps the run around the next.
     """
-    found = settle(anchors(index, benchmark, span))
+    found = settle(anchors(index, benchmark, span, unnamed))
     rare = found.select("term").distinct()
     known = [r.term for r in rare.limit(VOCABULARY + 1).collect()]
     hit = lambda w: w.isNotNull() if len(known) > VOCABULARY else w.isin(known or [""])
@@ -131,16 +141,19 @@ def matches(index: DataFrame, benchmark: DataFrame, span: int = WINDOW, near: fl
     )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, span: int = WINDOW) -> DataFrame:
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, span: int = WINDOW, unnamed: bool = False
+) -> DataFrame:
     """(doc_id, text_key, n_words, n_hit, n_items, items_sha256, contaminated, n_near).
 
     A row for each row of ``docs``. ``n_hit`` counts the words inside any occurrence of a
     window, ``n_near`` the items with a proximity match only. A null or empty text has no
-    words; neither has an item, which then occurs nowhere. Items without an id are left out.
+    words; neither has an item, which then occurs nowhere. Items without an id are left out; if ``unnamed``, they count
+    as one item that ``items_sha256`` doesn't list.
     Equal texts with equal ids are searched together and give equal rows.
     """
     index = positional_index(docs, benchmark)
-    found = settle(matches(index, benchmark, span).distinct())
+    found = settle(matches(index, benchmark, span, unnamed=unnamed).distinct())
     key = ["doc_id", "text_key"]
     exact = found.filter("kind = 'exact'")
     before = Window.partitionBy(*key).orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
@@ -183,10 +196,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = WINDOW) ->
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = WINDOW) -> DataFrame:
-    """The documents that hold no window of the benchmark, with all their columns."""
+    """The documents that hold no window of the benchmark, with all their columns.
+
+    Items without an id count like any.
+    """
     index = positional_index(docs, benchmark)
-    bad = matches(index, benchmark, span).filter("kind = 'exact'").select("doc_id", "text_key").distinct()
-    bad = settle(bad)
+    found = matches(index, benchmark, span, unnamed=True).filter("kind = 'exact'")
+    bad = settle(found.select("doc_id", "text_key").distinct())
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         "doc_id",

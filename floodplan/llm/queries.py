@@ -48,7 +48,7 @@ def op4_embeddings(spark, sf_dir):
 
 def op5_decontamination(spark, sf_dir):
     docs, benchmark = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
-    return decontaminate.contamination(docs, benchmark).drop("text_key", "n_near")
+    return decontaminate.contamination(docs, benchmark, unnamed=True).drop("text_key", "n_near")
 
 
 def op6_chat(spark, sf_dir):
