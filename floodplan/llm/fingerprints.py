@@ -1,6 +1,6 @@
 """Document fingerprints that add: a sum over paragraphs of wide vectors, modulo 2^32.
 
-A paragraph is a line. Its vector has 8 lanes of its SHA-256, and 64 lanes that add 1 or -1
+A paragraph is a line. Its vector has 8 lanes of its SHA-256, and 128 lanes that add 1 or -1
 for each of its words, by the bits of a hash of the word and the two before it. A document's
 fingerprint is the sum of its paragraphs' vectors modulo 2^32: their order doesn't matter,
 and putting in or taking out a paragraph adds or subtracts its vector. The first lanes tell
@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 from floodplan.llm.text import with_row
 from floodplan.session import settle
 
-STRONG, SIGNS = 8, 64
+STRONG, SIGNS = 8, 128
 LANES = STRONG + SIGNS
 #: Words that are hashed at once.
 WORDS = 1 << 16

@@ -253,15 +253,19 @@ FINGERPRINT_SQL = """
         FROM (SELECT r, v, sha256(p) AS h FROM line), unnest(range(8)) t(k) GROUP BY r, v, k
     ),
     run AS (
-        SELECT r, v, ('0x' || left(md5(array_to_string(w[greatest(1, j - 2) : j], ' ')), 16))::UBIGINT AS h
-        FROM (SELECT r, v, regexp_extract_all(p, '[^\x20\x09-\x0D]+') AS w FROM line),
-            unnest(range(1, len(w) + 1)) t(j)
+        SELECT r, v, ('0x' || left(h, 16))::UBIGINT AS high, ('0x' || right(h, 16))::UBIGINT AS low
+        FROM (
+            SELECT r, v, md5(array_to_string(w[greatest(1, j - 2) : j], ' ')) AS h
+            FROM (SELECT r, v, regexp_extract_all(p, '[^\x20\x09-\x0D]+') AS w FROM line),
+                unnest(range(1, len(w) + 1)) t(j)
+        )
     ),
     sign AS (
-        SELECT r, v, 8 + k AS k, sum(2 * ((h >> (63 - k)) & 1)::BIGINT - 1)::BIGINT AS lane
-        FROM run, unnest(range(64)) t(k) GROUP BY r, v, k
+        SELECT r, v, 8 + k AS k, sum(2 * ((CASE WHEN k < 64 THEN high ELSE low END >> (63 - k % 64)) & 1)::BIGINT - 1)::BIGINT
+            AS lane
+        FROM run, unnest(range(128)) t(k) GROUP BY r, v, k
     ),
-    place AS (SELECT r, v, k FROM e, unnest([0, 1]) s(v), unnest(range(72)) t(k)),
+    place AS (SELECT r, v, k FROM e, unnest([0, 1]) s(v), unnest(range(136)) t(k)),
     lane AS (
         SELECT r, v, k, coalesce(strong.lane, sign.lane, 0)::BIGINT AS lane
         FROM place LEFT JOIN strong USING (r, v, k) LEFT JOIN sign USING (r, v, k)
