@@ -13,17 +13,35 @@ SF_DIR = "/root/testdata/sf0.001"
 ODD = [(1, "a"), (2, None), (3, ""), (4, "  two  spaces \n\ttab"), (5, "▁ mark 日本 \U0001f600é\x00"), (5, "x" * 900), (None, "the " * 400)]
 
 
-def test_best_segmentation():
-    model = pieces.Pieces(vocabulary(PIECES))
-    words, ids_of_bytes = pieces.Words(model), set(model.byte.values())
+def longest_last(model, text):
+    """Pieces of the best segmentation of a marked text, ties to the longest last piece, by search."""
+    best = [(0.0, (), ())]
+    for j in range(1, len(text) + 1):
+        ways = []
+        for i in range(max(0, j - model.longest), j):
+            score, piece = model.score.get(text[i:j], (None, None))
+            if score is None and i == j - 1:
+                char = pieces.SPACE if text[i] == pieces.LITERAL else text[i]
+                score, piece = model.unknown, tuple(model.byte[b] for b in char.encode())
+            if score is not None:
+                total, lengths, ids = best[i]
+                ways.append((total + score, (j - i, *lengths), (ids, piece)))
+        best.append(max(ways, key=lambda w: w[:2]))
+    found, ids = [], best[-1][2]
+    while ids:
+        ids, piece = ids
+        found[:0] = piece if isinstance(piece, tuple) else [piece]
+    return found
+
+
+@pytest.fixture(scope="module")
+def model():
+    return pieces.Pieces(vocabulary(PIECES))
+
+
+def test_best_segmentation(model):
+    words = pieces.Words(model)
     random.seed(2)
-
-    def cost(ids):
-        """Score of pieces; runs of bytes count as the characters they spell."""
-        plain = sum(model.score[model.text[i]][0] for i in ids if i not in ids_of_bytes)
-        spelt = b"".join(model.decoded[i] for i in ids if i in ids_of_bytes)
-        return plain + model.unknown * len(spelt.decode("utf-8", "replace"))
-
     for k in range(60):
         letters = ["a", "th", " ", "  ", "é", "\n", "in", "▁", "zq"] if k % 2 else "aethin"
         text = "".join(random.choice(letters) for _ in range(random.randint(1, 150)))
@@ -34,10 +52,59 @@ def test_best_segmentation():
             pieces.Chunk(model, text[a : a + size + model.longest - 1], min(size, len(text) - a), a == 0)
             for a in range(0, len(text), size)
         ]
-        states = pieces.scan([c.matrix() for c in chunks])
+        start = np.full(model.longest, pieces.LOWEST)
+        start[0] = 0.0
+        ways = pieces.scan(start, [c.matrix() for c in chunks])
+        states = pieces.passed([c.entries(w) for c, w in zip(chunks, ways)])
         cut = np.concatenate([c.ids(words, *s) for c, s in zip(chunks, states)])
-        fast = np.frombuffer(pieces.encode_words(words, whole), np.int32)
-        assert cost(best) == cost(cut) == cost(fast)
+        fast = pieces.encode_texts(words, [whole])[0]
+        assert best == cut.tolist() == fast.tolist() == longest_last(model, whole)
+
+
+def test_words_are_cut_where_no_piece_crosses(model):
+    random.seed(10)
+    for _ in range(300):
+        text = pieces.marked("".join(random.choices("ab,.\n 1²é_▁\u0301ßx", k=30)), True)
+        parts = pieces.split_words(model, text)
+        assert "".join(parts) == text
+        assert not any(a[-1] + b[0] in model.joined for a, b in zip(parts, parts[1:]))
+
+
+def test_products_are_scans(model):
+    random.seed(8)
+    text = "".join(random.choice("ab=-") for _ in range(1500))
+    chunks = [pieces.Chunk(model, text[a : a + 35], min(20, 1500 - a), a == 0) for a in range(0, 1500, 20)]
+    matrices = [c.matrix() for c in chunks]
+    start = np.full(model.longest, pieces.LOWEST)
+    start[0] = 0.0
+    whole = pieces.scan(start, [*matrices, matrices[0]])
+    for cut in (1, 30, 74):
+        after = (start[:, None] + pieces.product(matrices[:cut])).max(axis=0)
+        assert (after - after.max() == whole[cut]).all()
+
+
+def test_words_together(model):
+    random.seed(9)
+    letters = ["a", "b", "é", "日", "th", "ing", "=", "zq", "\n", "\U0001f600"]
+    words = {"▁" + "".join(random.choices(letters, k=random.randint(0, 20))) for _ in range(800)}
+    words = sorted(words)
+    assert pieces.segmented(model, words) == [pieces._alone(model, w) for w in words]
+    for word, ids in zip(words[:200], pieces.segmented(model, words)):
+        assert np.frombuffer(ids, np.int32).tolist() == longest_last(model, word)
+
+
+TIED = ["abababab" * 40, "==========-----" * 30, "x" * 500, "aaaa" * 99, "zqzqzqzqxxyy" * 40, "\n" * 300]
+
+
+@pytest.mark.parametrize("chunk", [33, 50, 64, 32_768])
+def test_chunks_change_nothing(spark, model, monkeypatch, chunk):
+    monkeypatch.setattr(pieces, "SPAN", 3)
+    texts = [*TIED, " ".join(TIED), "x y " * 200 + TIED[1]]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in pieces.encode_documents(table, vocabulary(PIECES), chunk=chunk).collect()}
+    for k, text in enumerate(texts):
+        assert found[k].exact
+        assert list(found[k].ids) == longest_last(model, pieces.marked(text, True))
 
 
 def test_pieces_round_trip(spark):
