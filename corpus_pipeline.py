@@ -20,9 +20,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id."""
+    """One document of each group that fingerprints link: that with the smallest id."""
     small_batches(spark)
-    return simhash.drop_similar(docs)
+    return simhash.drop_near_copies(docs)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
