@@ -19,6 +19,8 @@ from floodplan.session import settle
 #: Code points within which complementary parts count as one credential.
 SCOPE = 200
 MASK = "[SECRET]"
+#: Code points of a block from which a masked text is put together.
+BLOCK = 1000
 
 
 @dataclass(frozen=True)
@@ -182,30 +184,55 @@ def secret_report(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     )
 
 
+def _without(text: Column, masked: Column) -> Column:
+    """A text with MASK in place of spans (start, end), sorted and apart.
+
+    Finding a place in a text takes as long as the place is far in. So the text is cut into
+    blocks once, and what lies between spans is put together from parts of blocks.
+    """
+    least, most = F.least, F.greatest
+
+    def between(all: Column, i: Column) -> Column:
+        spans, size = all["spans"], F.size(all["spans"])
+        low = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(spans, i - 1)["end"])
+        high = F.when(i == size, all["n"]).otherwise(F.get(spans, i)["start"])
+
+        def part(block: Column) -> Column:
+            first = most(low, block * BLOCK)
+            count = least(high, (block + 1) * BLOCK) - first
+            return F.substring(F.get(all["blocks"], block.cast("int")), (first - block * BLOCK + 1).cast("int"), count.cast("int"))
+
+        blocks = F.sequence(F.floor(low / BLOCK), F.floor((high - 1) / BLOCK))
+        return F.when(high > low, F.array_join(F.transform(blocks, part), "")).otherwise("")
+
+    whole = F.struct(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)).alias("blocks"),
+        masked.alias("spans"),
+        F.length(text).cast("long").alias("n"),
+    )
+    # As an element of an array it is computed once, not for every span.
+    return F.transform(
+        F.array(whole),
+        lambda all: F.array_join(F.transform(F.sequence(F.lit(0), F.size(all["spans"])), lambda i: between(all, i)), MASK),
+    )[0]
+
+
 def mask_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """All documents and columns, each secret in ``text`` replaced by MASK, n_chars by the
     new length. Spans that overlap or touch are masked as one. A null text stays null."""
     found = secret_spans(docs, scope).filter(F.size("spans") > 0).distinct()
-    # Spans become pieces to keep: from the furthest end so far to the next start.
-    kept = found.select(
-        F.col("doc_id").alias("id"),
-        F.col("text_key").alias("key"),
-        F.aggregate(
-            F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))),
-            F.array().cast("array<struct<start:bigint,end:bigint>>"),
-            lambda acc, s: F.when(
-                (F.size(acc) > 0) & (F.get(acc, F.size(acc) - 1)["end"] >= s["start"]),
-                F.concat(
-                    F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-                    F.array(
-                        F.struct(
-                            F.get(acc, F.size(acc) - 1)["start"].alias("start"),
-                            F.greatest(F.get(acc, F.size(acc) - 1)["end"], s["end"]).alias("end"),
-                        )
-                    ),
-                ),
-            ).otherwise(F.concat(acc, F.array(s))),
-        ).alias("masked"),
+    key = ("doc_id", "text_key")
+    each = found.select(*key, F.explode("spans").alias("span")).select(*key, "span.start", "span.end")
+    order = Window.partitionBy(*key).orderBy("start", "end")
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.when(reached >= F.col("start"), 0).otherwise(1)
+    kept = (
+        each.withColumn("apart", apart)
+        .withColumn("group", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*key, "group")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+        .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("masked"))
     )
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
@@ -215,14 +242,8 @@ def mask_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     joined = rows.join(
         kept, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_key") == F.col("key")), "left"
     )
-    text, n = F.col("row.text"), F.size("masked")
-    piece = lambda s, i: F.substring(
-        text,
-        (F.when(i == 0, F.lit(0)).otherwise(F.get("masked", i - 1)["end"]) + 1).cast("int"),
-        (s["start"] - F.when(i == 0, F.lit(0)).otherwise(F.get("masked", i - 1)["end"])).cast("int"),
-    )
-    rest = F.substring(text, (F.get("masked", n - 1)["end"] + 1).cast("int"), F.length(text))
-    clean = F.when(n > 0, F.array_join(F.concat(F.transform("masked", piece), F.array(rest)), MASK)).otherwise(text)
+    text = F.col("row.text")
+    clean = F.when(F.col("masked").isNotNull(), _without(text, F.col("masked"))).otherwise(text)
     new = {"text": clean, "n_chars": F.length(clean)}
     return joined.select(
         *[

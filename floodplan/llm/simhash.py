@@ -3,8 +3,7 @@
 Distinct fingerprints are laid out in tiles by the population counts of their parts. Two
 fingerprints within the radius have counts that differ by no more than the radius in sum,
 so only tile pairs that near are compared, each by exclusive-or and bit counts in numpy.
-No link between fingerprints is missed. Where texts must be similar and not only their
-fingerprints near, the latter are candidates and each link is verified on the texts.
+No link between fingerprints is missed.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import reduce
 from itertools import product
 
 import numpy as np
@@ -33,10 +32,6 @@ SEED = 42
 PIECE = 1 << 20
 #: Rows of a tile that are compared at once with the other tile.
 ROWS = 256
-#: A fingerprint with more candidates in a tile has so many looked at first.
-FIRST = 8
-#: Shingles of texts up to this length are remembered for the next candidate.
-SHORT = 20_000
 
 
 @dataclass(frozen=True)
@@ -73,13 +68,6 @@ class Scheme:
 
 #: 64 bits of 3-word shingles, 3 bits apart.
 NARROW = Scheme()
-#: 256 bits of 5-word shingles. Texts with a Jaccard similarity of 0.8 differ in 39 bits on
-#: average with a deviation of 6, those with 0.9 in 27 and those with 0.7 in 49.
-WIDE = Scheme(shingle=5, width=4, radius=44, tile=8192, parts=1, band=16, similarity=0.8)
-#: As WIDE, but only to find candidates, which are verified. At a similarity of 0.8, texts
-#: of many shingles differ in 39 bits with a deviation of 6; the least favourable sets, of 4
-#: and 5 shingles, in 48 with a deviation of 6.2. Unrelated texts differ in 128, deviation 8.
-SEARCH = Scheme(shingle=5, width=4, radius=80, tile=8192, parts=1, band=16, similarity=0.8)
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
@@ -121,18 +109,6 @@ def _hashes(runs: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(r, SEED) for r in runs], np.uint64)
 
 
-def shingle_set(text: str | None, n: int) -> np.ndarray:
-    """Sorted hashes of the distinct shingles of a text."""
-    parts = [np.unique(_hashes(runs)) for runs in _runs(text, n)]
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-
-
-def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    """Whether two sorted sets have at least this Jaccard similarity; empty sets are equal."""
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return shared >= similarity * (len(a) + len(b) - shared) - 1e-9
-
-
 def profile(text: str | None, scheme: Scheme = NARROW) -> tuple[np.ndarray, int]:
     """SimHash of the text's shingles, repeats included, as words of 64 bits, and its step.
 
@@ -305,104 +281,6 @@ def links(prints: DataFrame, scheme: Scheme = NARROW) -> DataFrame:
     return pairs.mapInArrow(_compare(scheme), "a long, b long")
 
 
-def _some(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which of the pairs (i, j), sorted, to look at first, and which rows have more of them."""
-    _, start, count = np.unique(i, return_index=True, return_counts=True)
-    many = np.repeat(count > FIRST, count)
-    rank = np.arange(len(i)) - np.repeat(start, count)
-    # Every n-th, from another place in each row, so that no column is taken by all rows.
-    apart = np.repeat(-(-count // FIRST), count)
-    return ~many | ((rank + i) % apart == 0), many
-
-
-def _candidates(scheme: Scheme, every: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = {name: batch.column(name) for name in batch.schema.names}
-            for k in range(len(batch)):
-                a, b = (
-                    at[c][k].values.to_numpy().view(np.uint64).reshape(-1, scheme.width)
-                    for c in ("prints", "others")
-                )
-                ids, other_ids, labels, other_labels = (
-                    at[c][k].values.to_numpy() for c in ("ids", "other_ids", "labels", "other_labels")
-                )
-                for i, j in near_blocks(a, b, scheme.radius):
-                    apart = labels[i] != other_labels[j]
-                    if at["same"][k].as_py():
-                        apart &= i < j
-                    i, j = i[apart], j[apart]
-                    more = np.zeros(0, np.int64)
-                    if not every and len(i):
-                        taken, many = _some(i, j)
-                        more = np.unique(np.concatenate([ids[i[many]], other_ids[j[many]]]))
-                        i, j = i[taken], j[taken]
-                    ends = [pa.array(np.concatenate([x, more]), pa.int64()) for x in (ids[i], other_ids[j])]
-                    if len(ends[0]):
-                        yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
-
-    return run
-
-
-def candidates(prints: DataFrame, scheme: Scheme, every: bool = False) -> DataFrame:
-    """Pairs (a, b) of ids (id, print, step, label) within the radius whose labels differ.
-
-    All of them if ``every``. Otherwise a fingerprint with many in a tile gives some of them,
-    and a loop (x, x) for each id that has further pairs.
-    """
-    packs = settle(tiles(prints, scheme))
-    near = _near_keys(packs.select("key").distinct(), scheme)
-    others = packs.toDF("other", "other_part", "other_ids", "others", "other_labels")
-    pairs = (
-        packs.join(near, "key")
-        .join(others, "other")
-        .filter("key <> other OR part <= other_part")
-        .withColumn("same", F.expr("key = other AND part = other_part"))
-        .select("ids", "prints", "labels", "other_ids", "others", "other_labels", "same")
-    )
-    return pairs.mapInArrow(_candidates(scheme, every), "a long, b long")
-
-
-def verified(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """The pairs (a, b) whose texts (id, text) have the scheme's similarity, computed exactly."""
-    a, b = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = lru_cache(64)(lambda text: shingle_set(text, scheme.shingle))
-
-        def of(text: str | None) -> np.ndarray:
-            short = text is not None and len(text) <= SHORT
-            return known(text) if short else shingle_set(text, scheme.shingle)
-
-        for batch in batches:
-            kept = [similar(of(x), of(y), scheme.similarity) for x, y in zip(batch["text_a"], batch["text_b"])]
-            yield batch.loc[np.array(kept, bool), ["a", "b"]]
-
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInPandas(
-        run, "a long, b long"
-    )
-
-
-def similar_links(nodes: DataFrame, texts: DataFrame, scheme: Scheme = SEARCH) -> DataFrame:
-    """Links (a, b) between ids (id, print, step) that connect all similar texts (id, text).
-
-    Every link is verified. A pair within the radius is left out only if verified links
-    connect its ends already.
-    """
-    pairs = settle(candidates(nodes.withColumn("label", F.col("id")), scheme))
-    more = pairs.filter("a = b").select(F.col("a").alias("id")).distinct()
-    found = settle(verified(pairs.filter("a <> b"), texts, scheme))
-    if more.isEmpty():
-        return found
-    labels = components(found)
-    rest = (
-        nodes.join(settle(more), "id")
-        .join(labels, F.col("id") == F.col("node"), "left")
-        .select("id", "print", "step", F.coalesce("component", "id").alias("label"))
-    )
-    return found.union(verified(settle(candidates(rest, scheme, every=True)), texts, scheme))
-
-
 def _labelled(prints: DataFrame, scheme: Scheme) -> DataFrame:
     """(print, step, root, component_id) for a settled table (doc_id, print, step)."""
     first = settle(
@@ -439,7 +317,7 @@ def simhash_components(docs: DataFrame, scheme: Scheme = NARROW) -> DataFrame:
     )
 
 
-def drop_near_copies(docs: DataFrame, scheme: Scheme = WIDE) -> DataFrame:
+def drop_near_copies(docs: DataFrame, scheme: Scheme = NARROW) -> DataFrame:
     """One row of each group: that with the smallest doc_id. All columns are kept.
 
     Null and empty texts count as copies of each other, as above.
@@ -460,63 +338,3 @@ def drop_near_copies(docs: DataFrame, scheme: Scheme = WIDE) -> DataFrame:
         .agg(F.min_by("rid", order).alias("rid"))
     )
     return rows.join(kept.select("rid"), "rid", "left_semi").select("row.*")
-
-
-def set_print(hashes: np.ndarray, scheme: Scheme) -> np.ndarray:
-    """SimHash of a set of shingles, each counted once."""
-    ones = np.zeros((scheme.width, 64), np.int64)
-    for start in range(0, len(hashes), PIECE):
-        for k in range(scheme.width):
-            octets = _mixed(hashes[start : start + PIECE], k).view(np.uint8).reshape(-1, 8)
-            ones[k] += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * ones > len(hashes), axis=1, bitorder="little").view(np.int64)[:, 0]
-
-
-def set_profiles(scheme: Scheme):
-    """A column function: (print, step, digest) of a text; equal sets have equal digests."""
-
-    @pandas_udf("print array<bigint>, step int, digest binary")
-    def of(text: pd.Series) -> pd.DataFrame:
-        found = []
-        for t in text:
-            hashes = shingle_set(t, scheme.shingle)
-            digest = xxhash.xxh128_digest(hashes.tobytes(), SEED)
-            found.append((set_print(hashes, scheme), scheme.step(len(hashes)), digest))
-        return pd.DataFrame(found, columns=["print", "step", "digest"])
-
-    return of
-
-
-def drop_similar(docs: DataFrame, scheme: Scheme = SEARCH) -> DataFrame:
-    """One row of each group of similar texts: that with the smallest doc_id. All columns are kept.
-
-    Texts are linked if their sets of distinct shingles have the scheme's Jaccard similarity
-    or more; a group is what links connect. Null and empty texts have the empty set.
-    """
-    rows = settle(
-        with_row(
-            docs,
-            rid=F.monotonically_increasing_id(),
-            doc_id=F.col("doc_id"),
-            p=set_profiles(scheme)("text"),
-        )
-    )
-    prints = rows.select("rid", "doc_id", "p.*")
-    nodes = settle(
-        prints.groupBy("digest").agg(
-            F.min_by(F.struct("print", "step", F.col("rid").alias("id")), "rid").alias("n")
-        )
-    )
-    texts = rows.select(F.col("rid").alias("id"), F.col("row.text").alias("text"))
-    links = similar_links(nodes.select("n.id", "n.print", "n.step"), texts, scheme)
-    root = components(links)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "rid")
-    least = prints.groupBy("digest").agg(F.min(order).alias("least"))
-    kept = (
-        least.join(nodes.select("digest", "n.id"), "digest")
-        .join(root, F.col("id") == F.col("node"), "left")
-        .groupBy(F.coalesce("component", "id"))
-        .agg(F.min("least").alias("least"))
-        .select("least.rid")
-    )
-    return rows.join(kept, "rid", "left_semi").select("row.*")

@@ -7,6 +7,8 @@ import re
 import numpy as np
 import xxhash
 
+import corpus_pipeline
+
 from floodplan.llm import chat, covertree, simhash
 from floodplan.llm.components import components
 
@@ -72,12 +74,35 @@ def test_near_pairs():
     assert set(zip(i.tolist(), j.tolist())) == set(map(tuple, np.argwhere(apart <= 20).tolist()))
 
 
+#: 256 bits of 5-word shingles, texts by steps of size.
+WIDE = simhash.Scheme(shingle=5, width=4, radius=44, tile=8192, parts=1, band=16, similarity=0.8)
+
+
+def test_stage_keeps_one_of_each_group(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    long = max((t for _, t in rows), key=len)
+    rows += [(7000 + k, long + f" tail{k}") for k in range(20)] + [(7100, None), (7101, ""), (7101, ""), (None, rows[3][1])]
+    rows += rows[:5]
+    table = spark.createDataFrame([(i, t, "r", 2) for i, t in rows], "doc_id long, text string, row string, p int")
+    prints = [plain(t) for _, t in rows]
+    pairs = [(k, m) for k, m in itertools.combinations(range(len(rows)), 2) if (prints[k] ^ prints[m]).bit_count() <= 3]
+    low = groups(range(len(rows)), pairs)
+    assert len(set(low.values())) < len(rows) - 20
+    best = {}
+    for k, root in low.items():
+        key = (rows[k][0] is None, rows[k][0] or 0)
+        best[root] = min(best.get(root, key), key)
+    found = corpus_pipeline.distinct(spark, table, "")
+    assert found.columns == table.columns
+    assert sorted(r.doc_id for r in found.collect()) == sorted(i for _, i in best.values())
+
+
 def test_one_of_each_group_stays(spark):
     words = [f"word{i}" for i in range(400)]
     edited = [*words[:200], "other", *words[201:]]
     rows = [(5, " ".join(words)), (3, " ".join(edited)), (3, " ".join(edited)), (None, " ".join(words)), (8, "something else"), (9, None), (10, "")]
     table = spark.createDataFrame([(i, t, "r") for i, t in rows], "doc_id long, text string, row string")
-    found = simhash.drop_near_copies(table)
+    found = simhash.drop_near_copies(table, WIDE)
     assert found.columns == table.columns
     assert sorted(r.doc_id for r in found.collect()) == [3, 8, 9]
     assert simhash.drop_near_copies(table.limit(0)).count() == 0
@@ -97,7 +122,7 @@ def test_wide_tiles_miss_no_link(spark):
             texts.append(" ".join(copy + rng.choices(words, k=rng.choice([0, 0, 1, len(base) // 10]))))
     texts += [" ".join([texts[-1]] * 8)]
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    scheme = simhash.WIDE
+    scheme = WIDE
     known = [simhash.profile(t, scheme) for t in texts]
     sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in ((t or "").split() for t in texts)]
     pairs = []
@@ -111,7 +136,7 @@ def test_wide_tiles_miss_no_link(spark):
     low = groups(range(len(texts)), pairs)
     found = simhash.simhash_components(table, scheme).collect()
     assert {r.doc_id: r.component_id for r in found} == low
-    kept = {r.doc_id for r in simhash.drop_near_copies(table).collect()}
+    kept = {r.doc_id for r in simhash.drop_near_copies(table, scheme).collect()}
     assert kept == set(low.values())
 
 
