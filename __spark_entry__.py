@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_queries
-from floodplan.functions.grid import ROUGH_RES, cell, grid_distance, k_ring
+from floodplan.functions.grid import ROUGH_RES, cell, centre, grid_distance, k_ring
 from floodplan.functions.parsing import parse_population, parse_size
 from floodplan.operators import elevation as E
 from floodplan.operators import nearest as N
 from floodplan.operators import places as P
+from floodplan.operators.planet import SHEETS, nearest_on_earth
 from floodplan.operators.sample import city_weight, evacuating, weighted_sample
 from floodplan.plans import evacuation as V
 from floodplan.plans import pipeline as L
@@ -217,6 +218,35 @@ def nearest_city_rings(spark, sf_dir):
     return N.nearest_city(flood, safe, N.Search("ring", rings=(1, 2, 4)))
 
 
+def _around_the_edge(rows: DataFrame) -> DataFrame:
+    """The same map turned until some of its cities lie across the edge of the sheet."""
+    turned = F.pmod(F.col("lon") + oracle_queries.TURN + 180, F.lit(360)) - 180
+    return rows.withColumn("lon", turned)
+
+
+def _planet_terrain(spark: SparkSession, sf_dir: str) -> L.Terrain:
+    frames = [_around_the_edge(f(spark, sf_dir)) for f in (fixtures.nodes, fixtures.elevation)]
+    return L.survey_terrain(*frames, sheets=SHEETS)
+
+
+def nearest_city_planet(spark, sf_dir):
+    """By great circles, on a map that crosses the edge of the sheet."""
+    terrain = _planet_terrain(spark, sf_dir)
+    flood, safe = E.flooded(terrain.places, RISE), E.safe_cities(terrain.places, RISE)
+    return N.nearest_city(flood, safe, find=nearest_on_earth)
+
+
+def relocation_plan_planet(spark, sf_dir):
+    return L.evacuation_plan(_planet_terrain(spark, sf_dir), RISE, find=nearest_on_earth)
+
+
+def cell_centres(spark, sf_dir):
+    """The middle of every place's cell on the sheets of the whole earth."""
+    lat, lon = centre(F.col("cell"), sheets=SHEETS)
+    cells = P.with_cells(_around_the_edge(_complete(spark, sf_dir)), sheets=SHEETS)
+    return cells.select("id", "cell", F.round(lat, 9).alias("centre_lat"), F.round(lon, 9).alias("centre_lon"))
+
+
 def near_harbour(spark, sf_dir):
     return V.split_by_refuge(_options(spark, sf_dir))[0]
 
@@ -491,6 +521,9 @@ def own_queries() -> dict[str, Query]:
         "nearest_harbour_ring": nearest_harbour_ring,
         "nearest_city_rings": nearest_city_rings,
         "refuge_options": _options,
+        "nearest_city_planet": nearest_city_planet,
+        "relocation_plan_planet": relocation_plan_planet,
+        "cell_centres": cell_centres,
         "near_harbour": near_harbour,
         "near_city": near_city,
         "relocation_plan": _plan,

@@ -40,17 +40,34 @@ def axis_extent(res: int) -> int:
     return math.ceil(math.pi * EARTH_RADIUS_KM * 2 / (math.sqrt(3) * edge_km(res))) * 2
 
 
-def cell(lat: Column, lon: Column, res: int = FINE_RES, lon0: float = 0.0) -> Column:
+def _sheet(x: Column, sheets: int) -> Column:
+    """The meridian of the sheet that holds a longitude counted from ``lon0``, -180 to 180."""
+    width = 360.0 / sheets
+    number = F.least(F.greatest(F.floor((x + F.lit(180.0)) / F.lit(width)), F.lit(0)), F.lit(sheets - 1))
+    return number * F.lit(width) + F.lit(width / 2 - 180.0)
+
+
+def cell(
+    lat: Column, lon: Column, res: int = FINE_RES, lon0: float = 0.0, sheets: int = 1
+) -> Column:
     """The cell of a position, NULL if either coordinate is.
 
-    ``lon0`` is the central meridian: shapes are true there and sheared away from it.
+    ``lon0`` is the central meridian: shapes are true there and sheared away from it. With
+    several ``sheets`` the earth is cut along meridians, and each sheet has its own in its
+    middle; they lie side by side on one plane, so cells of the earth remain distinct numbers.
     The nearest hexagon is found with three floors instead of the usual rounding of
     three axes with a correction of the worst: no branch, and each input once or
     twice, which is a third of the work per elevation sample.
     """
     unit = EARTH_RADIUS_KM * math.pi / 180 / (math.sqrt(3) * edge_km(res))
     lat, lon = lat.cast("double"), lon.cast("double")
-    x = (lon - F.lit(lon0)) * F.lit(unit) * F.cos(lat * F.lit(math.pi / 180))
+    narrowing = F.cos(lat * F.lit(math.pi / 180))
+    if sheets == 1:
+        x = (lon - F.lit(lon0)) * F.lit(unit) * narrowing
+    else:
+        from_lon0 = F.pmod(lon - F.lit(lon0 - 180.0), F.lit(360.0)) - F.lit(180.0)
+        middle = _sheet(from_lon0, sheets)
+        x = (middle + (from_lon0 - middle) * narrowing) * F.lit(unit)
     t = lat * F.lit(-unit * math.sqrt(3)) + F.lit(1.0)
     corner = F.floor(t + x)
     q = F.floor((corner + x * F.lit(2.0) + F.lit(1.0)) / F.lit(3.0))
@@ -64,6 +81,26 @@ def pack(q: Column, r: Column, res: int) -> Column:
     return ((F.lit(res).cast("bigint") * span + q + zero) * span + r + zero).cast("bigint")
 
 
+def centre(
+    cell: Column, res: int = FINE_RES, lon0: float = 0.0, sheets: int = 1
+) -> tuple[Column, Column]:
+    """Latitude and longitude of the middle of a cell, at most those of its sheet's edge."""
+    degree = EARTH_RADIUS_KM * math.pi / 180
+    q, r = axial_q(cell) - F.lit(AXIS_ZERO), axial_r(cell) - F.lit(AXIS_ZERO)
+    lat = F.greatest(F.least(r * F.lit(1.5 * edge_km(res) / degree), F.lit(90.0)), F.lit(-90.0))
+    x = (q + r / F.lit(2.0)) * F.lit(math.sqrt(3) * edge_km(res) / degree)
+    half, middle = F.lit(180.0 / sheets), _sheet(x, sheets)
+    aside = (x - middle) / F.cos(lat * F.lit(math.pi / 180))
+    lon = middle + F.greatest(F.least(aside, half), -half)
+    return lat, lon + F.lit(lon0)
+
+
+def unit_vector(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+    """A position as a point on the sphere of radius 1."""
+    phi, theta = lat * F.lit(math.pi / 180), lon * F.lit(math.pi / 180)
+    return F.cos(phi) * F.cos(theta), F.cos(phi) * F.sin(theta), F.sin(phi)
+
+
 def resolution(cell: Column) -> Column:
     return F.shiftright(cell, 2 * AXIS_BITS)
 

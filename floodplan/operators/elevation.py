@@ -11,7 +11,11 @@ from floodplan.operators.skew import spread_join
 
 
 def min_elevation(
-    samples: DataFrame, res: int = FINE_RES, lon0: float = 0.0, method: str = "groupby"
+    samples: DataFrame,
+    res: int = FINE_RES,
+    lon0: float = 0.0,
+    method: str = "groupby",
+    sheets: int = 1,
 ) -> DataFrame:
     """The lowest sample of every cell.
 
@@ -21,7 +25,8 @@ def min_elevation(
     row per cell before the shuffle, but has to sort every sample for it; it is the
     slower equal.
     """
-    placed = samples.select(cell(F.col("lat"), F.col("lon"), res, lon0).alias("cell"), "elevation")
+    at = cell(F.col("lat"), F.col("lon"), res, lon0, sheets)
+    placed = samples.select(at.alias("cell"), "elevation")
     if method == "groupby":
         return placed.groupBy("cell").agg(F.min("elevation").alias("elevation"))
     if method == "window":

@@ -20,6 +20,7 @@ a ring search.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -77,6 +78,10 @@ class Target:
     search: Search
 
 
+#: What finds targets: flooded rows, targets by kind and scope to rows with their nearest.
+Finder = Callable[[DataFrame, dict[str, Target], tuple[str, ...]], DataFrame]
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -343,10 +348,11 @@ def nearest_city(
     search: Search = Search(),
     place_key: str = "name",
     scope: tuple[str, ...] = (),
+    find: Finder = nearest_targets,
 ) -> DataFrame:
     """The nearest safe city of every flooded place that can reach one."""
     city = Target(cities, "destination_id", "destination", "safe_population", search)
-    found = nearest_targets(flooded, {"city": city}, scope)
+    found = find(flooded, {"city": city}, scope)
     best = found.groupBy(*_by_place(scope, place_key)).agg(_best("city").alias("city"))
     return best.filter(F.col("city").isNotNull()).select(*scope, *_city_columns())
 
@@ -357,10 +363,11 @@ def nearest_harbour(
     search: Search = Search(),
     place_key: str = "name",
     scope: tuple[str, ...] = (),
+    find: Finder = nearest_targets,
 ) -> DataFrame:
     """The nearest harbour of every flooded place that can reach one."""
     harbour = Target(harbours, "harbour_id", "harbour", None, search)
-    found = nearest_targets(flooded, {"harbour": harbour}, scope)
+    found = find(flooded, {"harbour": harbour}, scope)
     best = found.groupBy(*_by_place(scope, place_key)).agg(_best("harbour").alias("harbour"))
     return best.filter(F.col("harbour").isNotNull()).select(
         *scope,
@@ -391,6 +398,7 @@ def refuge_options(
     harbour_search: Search = Search(),
     place_key: str = "name",
     scope: tuple[str, ...] = (),
+    find: Finder = nearest_targets,
 ) -> DataFrame:
     """Nearest city and distance to the nearest harbour of every place, in one search.
 
@@ -398,7 +406,7 @@ def refuge_options(
     the other afterwards. A place without a city is left out; one without a harbour has
     a NULL distance, which stands for infinity.
     """
-    found = nearest_targets(
+    found = find(
         flooded,
         {
             "city": Target(cities, "destination_id", "destination", "safe_population", city_search),

@@ -58,12 +58,19 @@ def complete_places(tagged: DataFrame, place_types: tuple[str, ...] = PLACE_TYPE
 
 
 def with_cells(
-    df: DataFrame, res: int = FINE_RES, rough_res: int = ROUGH_RES, lon0: float = 0.0
+    df: DataFrame,
+    res: int = FINE_RES,
+    rough_res: int = ROUGH_RES,
+    lon0: float = 0.0,
+    sheets: int = 1,
 ) -> DataFrame:
     """Add the fine and the rough cell of the position."""
     lat, lon = F.col("lat"), F.col("lon")
     return df.withColumns(
-        {"cell": cell(lat, lon, res, lon0), "rough": cell(lat, lon, rough_res, lon0)}
+        {
+            "cell": cell(lat, lon, res, lon0, sheets),
+            "rough": cell(lat, lon, rough_res, lon0, sheets),
+        }
     )
 
 

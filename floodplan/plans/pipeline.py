@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +17,8 @@ from floodplan.operators.elevation import (
     safe_cities,
     with_elevation,
 )
-from floodplan.operators.nearest import Search, refuge_options
+from floodplan.operators.nearest import Finder, Search, nearest_targets, refuge_options
+from floodplan.operators.planet import SHEETS, nearest_on_earth
 from floodplan.operators.places import (
     PLACE_TYPES,
     complete_places,
@@ -49,6 +51,7 @@ def survey_terrain(
     res: int = FINE_RES,
     rough_res: int = ROUGH_RES,
     lon0: float = 0.0,
+    sheets: int = 1,
 ) -> Terrain:
     """Read both inputs once and keep what every later step shares.
 
@@ -56,9 +59,9 @@ def survey_terrain(
     places and harbours, a tiny part of the map, and one row per place.
     """
     tagged = complete_places(extract_tags(elements), place_types)
-    complete = settle(with_cells(tagged, res, rough_res, lon0))
+    complete = settle(with_cells(tagged, res, rough_res, lon0, sheets))
     places, harbours = split_harbours(complete)
-    elevated = with_elevation(places, min_elevation(samples, res, lon0))
+    elevated = with_elevation(places, min_elevation(samples, res, lon0, sheets=sheets))
     return Terrain(settle(elevated), harbours)
 
 
@@ -73,8 +76,13 @@ def evacuation_plan(
     searches: tuple[Search, Search] = EXHAUSTIVE,
     place_key: str = "name",
     missing_harbour: str = "far",
+    find: Finder = nearest_targets,
 ) -> DataFrame:
-    """The relocation plan for one rise."""
+    """The relocation plan for one rise.
+
+    For the whole earth survey the terrain in ``planet.SHEETS`` sheets and give
+    ``planet.nearest_on_earth`` as ``find``; distances are metres then.
+    """
     rise = check_rise(rise)
     options = refuge_options(
         flooded(terrain.places, rise),
@@ -82,6 +90,7 @@ def evacuation_plan(
         terrain.harbours,
         *searches,
         place_key=place_key,
+        find=find,
     )
     return relocation_plan(options, missing_harbour)
 
@@ -120,12 +129,15 @@ def run(
     missing_harbour: str = "far",
     place_types: tuple[str, ...] = PLACE_TYPES,
     lon0: float = 0.0,
+    planet: bool = False,
 ) -> DataFrame:
     """Plan for one rise, write both outputs and return the total as a one-row frame."""
     rise = check_rise(rise, max_rise)
     nodes, samples = read_nodes(spark, nodes_path), read_elevation(spark, elevation_path)
-    terrain = survey_terrain(nodes, samples, place_types, lon0=lon0)
-    plan = settle(evacuation_plan(terrain, rise, searches, place_key, missing_harbour))
+    terrain = survey_terrain(nodes, samples, place_types, lon0=lon0, sheets=SHEETS if planet else 1)
+    find = partial(nearest_on_earth, lon0=lon0) if planet else nearest_targets
+    searches = EXHAUSTIVE if planet else searches
+    plan = settle(evacuation_plan(terrain, rise, searches, place_key, missing_harbour, find))
     write_plan(plan, plan_path)
     write_destinations(destination_change(plan, place_key), destinations_path)
     return total_evacuees(plan)
@@ -144,6 +156,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--missing-harbour", choices=["far", "nearest"], default="far")
     parser.add_argument("--place-types", nargs="+", default=list(PLACE_TYPES))
     parser.add_argument("--lon0", type=float, default=0.0, help="central meridian of the region")
+    parser.add_argument("--planet", action="store_true", help="nearest by great circles, without edges")
     given = parser.parse_args(arguments)
     max_rise = MAX_RISE_COUNTRY if given.country else MAX_RISE_PLANET
     rise = check_rise(given.rise, max_rise)
@@ -162,6 +175,7 @@ def main(arguments: list[str] | None = None) -> None:
         given.missing_harbour,
         tuple(given.place_types),
         given.lon0,
+        given.planet,
     )
     print(f"sea level rise {rise} m, total evacuees {total.first()['total_evacuees']}")
     forget(spark)

@@ -17,11 +17,24 @@ SAMPLE_SIZE = 10
 SAMPLE_SEED = 7
 LARGE_POPULATION = 400_000
 MAX_DISTANCE = 300
+TURN = 27.25
 
 
-def _cell(lat: str, lon: str, res: int) -> str:
-    edge = math.sqrt(2 * 4250546.8477 / 7**res / (3 * math.sqrt(3)))
+def _edge(res: int) -> float:
+    return math.sqrt(2 * 4250546.8477 / 7**res / (3 * math.sqrt(3)))
+
+
+def _meridian(x: str) -> str:
+    """That of the 15 degrees that hold a longitude."""
+    return f"(least(greatest(floor(({x} + 180) / 15e0), 0), 23) * 15e0 - 172.5e0)"
+
+
+def _cell(lat: str, lon: str, res: int, sheets: bool = False) -> str:
+    edge = _edge(res)
     x = f"(6371.0088e0 * radians({lon}) * cos(radians({lat})))"
+    if sheets:
+        m = _meridian(lon)
+        x = f"(6371.0088e0 * radians({m} + ({lon} - {m}) * cos(radians({lat}))))"
     y = f"(6371.0088e0 * radians({lat}))"
     fq = f"(({x} * sqrt(3e0) / 3e0 - {y} / 3e0) / CAST({edge!r} AS DOUBLE))"
     fr = f"((2e0 * {y} / 3e0) / CAST({edge!r} AS DOUBLE))"
@@ -39,6 +52,24 @@ def _steps(a: str, b: str) -> str:
     return f"CAST((abs({dq}) + abs({dr}) + abs({dq} + {dr})) // 2 AS INTEGER)"
 
 
+def _centre(cell: str, res: int) -> tuple[str, str]:
+    """Latitude and longitude of the middle of a cell on the sheets of the whole earth."""
+    degree = 6371.0088 * math.pi / 180
+    q = f"(({cell} // 268435456) % 268435456 - 134217728)"
+    r = f"({cell} % 268435456 - 134217728)"
+    lat = f"greatest(least({r} * CAST({1.5 * _edge(res) / degree!r} AS DOUBLE), 90), -90)"
+    x = f"(({q} + {r} / 2e0) * CAST({math.sqrt(3) * _edge(res) / degree!r} AS DOUBLE))"
+    m = _meridian(x)
+    return lat, f"({m} + greatest(least(({x} - {m}) / cos(radians({lat})), 7.5e0), -7.5e0))"
+
+
+def _metres(a: str, b: str) -> str:
+    """Great-circle distance by haversines."""
+    la, lb, oa, ob = (f"radians({t}.centre_{c})" for c in ("lat", "lon") for t in (a, b))
+    h = f"pow(sin(({la} - {lb}) / 2), 2) + cos({la}) * cos({lb}) * pow(sin(({oa} - {ob}) / 2), 2)"
+    return f"CAST(round(12742017.6e0 * asin(least(1e0, sqrt({h})))) AS BIGINT)"
+
+
 def _population(text: str) -> str:
     return (
         f"TRY_CAST(nullif(regexp_extract(trim({text}), '^([+-]?[0-9]+)([.][0-9]*)?$', 1), '')"
@@ -97,6 +128,37 @@ STEPS = {
 }
 
 
+STEPS["planet_nodes"] = f"""
+    SELECT * REPLACE ((lon + {TURN} + 180) % 360 - 180 AS lon) FROM complete"""
+STEPS["planet_cells"] = f"""
+    SELECT *, {_cell('lat', 'lon', 7, True)} AS cell FROM planet_nodes"""
+STEPS["planet_centres"] = f"""
+    SELECT *, {_centre('cell', 7)[0]} AS centre_lat, {_centre('cell', 7)[1]} AS centre_lon
+    FROM planet_cells"""
+STEPS["planet_lowest"] = f"""
+    SELECT cell, min(elevation) AS elevation FROM (
+      SELECT {_cell('lat', 'lon', 7, True)} AS cell, elevation
+      FROM (SELECT * REPLACE ((lon + {TURN} + 180) % 360 - 180 AS lon) FROM samples)) GROUP BY cell"""
+STEPS["planet_elevated"] = """
+    SELECT p.*, l.elevation FROM planet_centres p JOIN planet_lowest l ON p.cell = l.cell
+    WHERE harbour IS NULL AND name IS NOT NULL"""
+STEPS["planet_cities"] = f"""
+    SELECT f.name AS place, f.id AS flood_id, {_population('f.population')} AS num_evacuees,
+      s.name AS destination, s.id AS destination_id, TRY_CAST(s.population AS DOUBLE) AS safe_population,
+      {_metres('f', 's')} AS city_distance
+    FROM planet_elevated f JOIN planet_elevated s
+    ON f.elevation <= {RISE} AND s.elevation > {RISE} AND s.place = 'city'
+    QUALIFY row_number() OVER (
+      PARTITION BY f.name ORDER BY {_metres('f', 's')}, f.id, s.id) = 1"""
+STEPS["planet_harbours"] = f"""
+    SELECT f.name AS place, min({_metres('f', 'h')}) AS harbour_distance
+    FROM planet_elevated f JOIN planet_centres h ON f.elevation <= {RISE} AND h.harbour = 'yes'
+    GROUP BY f.name"""
+STEPS["planet_options"] = f"""
+    SELECT {RISE} AS rise, c.*, h.harbour_distance
+    FROM planet_cities c LEFT JOIN planet_harbours h ON c.place = h.place"""
+
+
 def _reach(pairs: str, rings: tuple[int, ...] | None, fallback: bool) -> str:
     """The pairs that a search looks at."""
     if rings is None:
@@ -238,6 +300,11 @@ FINAL = {
     "nearest_harbour_ring": _at_rise(f"({_harbour('place', (1,))})"),
     "nearest_city_rings": _at_rise(f"({_city('place', (1, 2, 4))})"),
     "refuge_options": _at_rise("options"),
+    "nearest_city_planet": "SELECT * FROM planet_cities",
+    "relocation_plan_planet": f"SELECT {PLAN_COLUMNS} FROM ({_plan('planet_options')})",
+    "cell_centres": """
+        SELECT id, cell, round(centre_lat, 9) AS centre_lat, round(centre_lon, 9) AS centre_lon
+        FROM planet_centres""",
     "near_harbour": _at_rise("options")
     + " AND coalesce(harbour_distance <= city_distance, false)",
     "near_city": _at_rise("options")
