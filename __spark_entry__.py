@@ -16,6 +16,7 @@ from floodplan.operators import nearest as N
 from floodplan.operators import places as P
 from floodplan.operators.planet import SHEETS, nearest_on_earth
 from floodplan.operators.sample import city_weight, evacuating, weighted_sample
+from floodplan.plans import curve as C
 from floodplan.plans import evacuation as V
 from floodplan.plans import pipeline as L
 from floodplan.session import settle, shared_dir
@@ -32,6 +33,7 @@ from floodplan.sources.files import (
 from floodplan.sources.messages import read_message_files, write_message_files
 from floodplan.streaming import updates as U
 from floodplan.streaming.job import enriched_updates
+from floodplan.streaming.live import keep_live, live_cities, live_intensity
 from floodplan.streaming.ranged import read_updates, track_in_ranges
 from floodplan.streaming.replay import tracker_batch
 from floodplan.streaming.tracker import encode_updates, parse_events, track_refugees
@@ -301,6 +303,18 @@ def evacuation_totals(spark, sf_dir):
     return L.evacuation_totals(_terrain(spark, sf_dir), list(oracle_queries.RISES))
 
 
+def relocation_plans_by_rise(spark, sf_dir):
+    """The plan of every whole rise up to 95 m, from one search; a row for each range of rises."""
+    terrain = _terrain(spark, sf_dir)
+    plans = C.plans_by_rise(terrain.places, terrain.harbours)
+    return plans.withColumn("rise", F.explode(F.sequence("low", "high"))).drop(*C.RANGE)
+
+
+def evacuation_curve(spark, sf_dir):
+    terrain = _terrain(spark, sf_dir)
+    return C.evacuation_curve(C.plans_by_rise(terrain.places, terrain.harbours))
+
+
 def unassigned(spark, sf_dir):
     """Flooded rows that a ring search without fallback leaves without a city."""
     flood, safe, harbour = _sides(spark, sf_dir)
@@ -475,6 +489,31 @@ def city_intensity(spark, sf_dir):
     return found.withColumns({c: F.round(c, 6) for c in ("count_scale", "change_scale")})
 
 
+def _live(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, str]:
+    """The live map after 20 batches of updates in order of time, stopped halfway."""
+    spark = _stream_session(spark)
+    source, folder = _scratch(spark, "topic"), _scratch(spark, "live")
+    messages = encode_updates(batch_updates(spark, sf_dir))
+    order = ("at_ms", "arrival", "event_id")
+    ranges = settle(messages.repartitionByRange(20, *order).withColumn("half", F.spark_partition_id() >= 10))
+    for half in (False, True):
+        rows = ranges.filter(F.col("half") == half).drop("half").repartitionByRange(10, *order)
+        rows.write.mode("append").json(source)
+        stream = read_message_files(spark, source, max_files=1, schema=messages.schema)
+        writer = keep_live(U.parse_updates(stream), folder, order, buckets=8)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return spark, folder
+
+
+def city_latest_stream(spark, sf_dir):
+    return live_cities(*_live(spark, sf_dir))
+
+
+def city_intensity_stream(spark, sf_dir):
+    found = live_intensity(*_live(spark, sf_dir))
+    return found.withColumns({c: F.round(c, 6) for c in ("count_scale", "change_scale")})
+
+
 def sampled_cities(spark, sf_dir):
     cities = fixtures.cities(spark, sf_dir).select(
         F.col("geoname_id").cast("bigint").alias("city_id"), "population"
@@ -536,6 +575,8 @@ def own_queries() -> dict[str, Query]:
         "destination_change_by_id": destination_change_by_id,
         "total_evacuees": total_evacuees,
         "evacuation_totals": evacuation_totals,
+        "relocation_plans_by_rise": relocation_plans_by_rise,
+        "evacuation_curve": evacuation_curve,
         "unassigned": unassigned,
         "tracker_batch": batch_updates,
         "tracker_stream": tracker_stream,
@@ -550,6 +591,8 @@ def own_queries() -> dict[str, Query]:
         "elevation_parquet": elevation_parquet,
         "city_latest": city_latest,
         "city_intensity": city_intensity,
+        "city_latest_stream": city_latest_stream,
+        "city_intensity_stream": city_intensity_stream,
         "large_cities": large_cities,
         "city_features": city_features,
         "weighted_sample": sampled_cities,

@@ -58,11 +58,30 @@ def at_rises(elevated: DataFrame, rises: list[int]) -> DataFrame:
     return elevated.withColumn("rise", F.explode(F.array(*[F.lit(r) for r in rises])))
 
 
+def first_rise(elevation: Column) -> Column:
+    """The first whole rise, from 0 on, that floods an elevation."""
+    return F.greatest(F.ceil(elevation), F.lit(0)).cast("int")
+
+
+def flooded_by_rise(elevated: DataFrame, top: int) -> DataFrame:
+    """Named places that some rise up to ``top`` floods, and the first that does."""
+    return (
+        flooded(elevated.withColumn("first_rise", first_rise(F.col("elevation"))), top, "first_rise")
+        .filter(F.col("first_rise") <= top)
+    )
+
+
+def cities_by_height(elevated: DataFrame, top: int) -> DataFrame:
+    """Named cities that are safe at rise 0, and the first rise that floods them, up to top + 1."""
+    height = F.least(first_rise(F.col("elevation")), F.lit(top + 1))
+    return safe_cities(elevated.withColumn("height", height), 0, "height")
+
+
 def _level(rise: int | str) -> Column:
     return F.col(rise) if isinstance(rise, str) else F.lit(rise)
 
 
-def flooded(elevated: DataFrame, rise: int | str) -> DataFrame:
+def flooded(elevated: DataFrame, rise: int | str, *more: str) -> DataFrame:
     """Named places at or below the rise (a number, or the name of a column)."""
     scope = [rise] if isinstance(rise, str) else []
     return elevated.filter(
@@ -74,10 +93,11 @@ def flooded(elevated: DataFrame, rise: int | str) -> DataFrame:
         parse_population(F.col("population")).alias("num_evacuees"),
         "cell",
         "rough",
+        *more,
     )
 
 
-def safe_cities(elevated: DataFrame, rise: int | str) -> DataFrame:
+def safe_cities(elevated: DataFrame, rise: int | str, *more: str) -> DataFrame:
     """Named cities above the rise (a number, or the name of a column)."""
     scope = [rise] if isinstance(rise, str) else []
     return elevated.filter(
@@ -91,4 +111,5 @@ def safe_cities(elevated: DataFrame, rise: int | str) -> DataFrame:
         parse_size(F.col("population")).alias("safe_population"),
         "cell",
         "rough",
+        *more,
     )

@@ -76,6 +76,8 @@ class Target:
     name: str
     population: str | None
     search: Search
+    #: Column with the first whole rise that floods the target, for a search over all rises.
+    height: str | None = None
 
 
 #: What finds targets: flooded rows, targets by kind and scope to rows with their nearest.
@@ -103,12 +105,14 @@ def _target_cells(targets: dict[str, Target], scope: list[str]) -> DataFrame:
                 "cell",
                 f"struct({target.id} AS id, {target.name} AS name, "
                 f"CAST({target.population or 'NULL'} AS DOUBLE) AS population) AS target",
+                *([f"CAST({target.height} AS INT) AS height"] if target.height else []),
             )
         )
+    height = ["height"] if all(t.height for t in targets.values()) else []
     return (
         _union(frames)
         .filter("cell IS NOT NULL")
-        .groupBy(*scope, "kind", "target_group", "cell")
+        .groupBy(*scope, "kind", "target_group", "cell", *height)
         .agg(F.min("target").alias("target"))
     )
 
@@ -161,8 +165,13 @@ def _seeds(
     return _union(frames)
 
 
-def _blocks(cells: str, by: list[str], shift: int, parent: int | None, carried: list[str]) -> str:
-    """SQL for the non-empty blocks of a level: bounds, and one of the cells in each."""
+def _blocks(
+    cells: str, by: list[str], shift: int, parent: int | None, carried: list[str], graded: bool = False
+) -> str:
+    """SQL for the non-empty blocks of a level: bounds, and one of the cells in each.
+
+    Where targets are graded by height, that is one of the highest, and its height.
+    """
     mask = grid.AXIS_SPAN - 1
     axes = {"q": "q", "r": "r", "s": "q + r"}
 
@@ -179,8 +188,9 @@ def _blocks(cells: str, by: list[str], shift: int, parent: int | None, carried:
       SELECT {_list(by, f"{of_parent} AS parent", "cell AS block", bounds, "cell", carried)}
       FROM ({placed})"""
     bounds = [f"{end}({v}) AS {a}_{end}" for a, v in axes.items() for end in ("min", "max")]
+    one = "max_by(cell, struct(height, cell)) AS cell, max(height) AS height" if graded else "min(cell) AS cell"
     return f"""
-      SELECT {_list(by, "parent, block", bounds, "min(cell) AS cell")}
+      SELECT {_list(by, "parent, block", bounds, one)}
       FROM (SELECT *, {of_parent} AS parent, {block(shift)} AS block FROM ({placed}))
       GROUP BY {_list(by, "parent, block")}"""
 
@@ -222,17 +232,20 @@ def level_shifts(res: int) -> list[int]:
     return list(range(first, -1, -LEVEL_BITS))
 
 
-def _pairs(scope: list[str], level: int, shift: int, parent: int | None) -> str:
+def _pairs(
+    scope: list[str], level: int, shift: int, parent: int | None, graded: bool = False
+) -> str:
     """SQL for what a level begins with: the children of the pairs left by the level before.
 
     The parents' bound holds for their children, so it prunes before each shuffle.
     """
     flood_by, target_by = [*scope, "flood_group"], [*scope, "kind", "target_group"]
     groups = [*scope, "kind", "flood_group", "target_group"]
-    found = ["target"] if shift == 0 else []
+    height = ["height"] if graded else []
+    found = [*height, "target"] if shift == 0 else height
     return f"""
     flood_{level} AS ({_blocks("flood_cells", flood_by, shift, parent, [])}),
-    target_{level} AS ({_blocks("target_cells", target_by, shift, parent, found)}),
+    target_{level} AS ({_blocks("target_cells", target_by, shift, parent, found, graded)}),
     near_{level} AS (
       SELECT {_list(_of("s", [*groups, "flood_parent", "bound"]), "t.block AS target_block",
                     _of("t", [*BOX, "cell", *found]))}
@@ -248,8 +261,13 @@ def _pairs(scope: list[str], level: int, shift: int, parent: int | None) -> str:
       WHERE {_closest("f", "n")} <= n.bound)"""
 
 
-def _descent(targets: dict[str, Target], scope: list[str], res: int) -> str:
-    """SQL for the nearest target of each kind, per (scope, flood_group, cell)."""
+def _descent(targets: dict[str, Target], scope: list[str], res: int, graded: bool = False) -> str:
+    """SQL for the nearest target of each kind, per (scope, flood_group, cell).
+
+    Where targets are graded by height, a target serves only rises below its own. What can
+    do without it are targets that are as high and nearer: a block's bound is the best of all
+    blocks that reach as high. So one descent finds the nearest for every rise, as steps.
+    """
     groups = [*scope, "kind", "flood_group", "target_group"]
     unbounded = [f"0L AS {c}" for c in ("flood_parent", "target_parent", *BOX)]
     unbounded.append(f"{UNBOUNDED}L AS bound")
@@ -260,17 +278,20 @@ def _descent(targets: dict[str, Target], scope: list[str], res: int) -> str:
         own = _list(scope, "kind", "flood_group", "flood_parent", "flood_block")
         # The children's own bound prunes the rest. All candidates of a flooded parent
         # lie together after the join, so the window needs no shuffle of its own.
-        steps.append(_pairs(scope, level, shift, parent))
+        steps.append(_pairs(scope, level, shift, parent, graded))
+        order = " ORDER BY height DESC" if graded else ""
         steps.append(f"""
     bounded_{level} AS (
-      SELECT *, min(farthest) OVER (PARTITION BY {own}) AS bound FROM pairs_{level}),
+      SELECT *, min(farthest) OVER (PARTITION BY {own}{order}) AS bound FROM pairs_{level}),
     state_{level + 1} AS (
       SELECT {_list(groups, "flood_block AS flood_parent", "target_block AS target_parent",
                     list(BOX), "bound")}
       FROM bounded_{level} WHERE lower <= bound)""")
         parent = shift
     level, shift = last
-    steps.append(_pairs(scope, level, shift, parent))
+    steps.append(_pairs(scope, level, shift, parent, graded))
+    if graded:
+        return _rise_steps(scope, level, steps)
     bests = []
     for kind, target in targets.items():
         reached = f"kind = '{kind}'"
@@ -286,6 +307,63 @@ def _descent(targets: dict[str, Target], scope: list[str], res: int) -> str:
     FROM pairs_{level} GROUP BY {_list(cell, "flood_parent", "flood_block")}"""
 
 
+def _rise_steps(scope: list[str], level: int, steps: list[str]) -> str:
+    """SQL for each cell's steps per kind: from which to which rise which target is nearest."""
+    cell = _list(scope, "flood_group", "flood_block")
+    by = _list(scope, "kind", "flood_group", "flood_parent", "flood_block")
+    # All rows of a cell lie together after the last join, so neither window is shuffled.
+    steps.append(f"""
+    nearest AS (
+      SELECT *, min(struct(CAST(lower AS INT) AS distance, target)) OVER (
+        PARTITION BY {by} ORDER BY height DESC) AS best
+      FROM pairs_{level}),
+    heights AS (SELECT {by}, height, min(best) AS best FROM nearest GROUP BY {by}, height),
+    ranges AS (
+      SELECT *, coalesce(lead(height) OVER (PARTITION BY {by} ORDER BY height DESC), 0) AS low
+      FROM heights)""")
+    step = "struct(low, height - 1 AS high, best.distance, best.target)"
+    return f"""
+    WITH {",".join(steps)}
+    SELECT {cell.replace("flood_block", "flood_block AS cell")}, kind,
+      collect_list({step}) AS steps
+    FROM ranges GROUP BY {cell}, flood_parent, kind"""
+
+
+def nearest_by_rise(
+    flooded: DataFrame,
+    targets: dict[str, Target],
+    scope: tuple[str, ...] = (),
+    res: int = grid.FINE_RES,
+) -> DataFrame:
+    """Flooded rows with, per kind, an array ``<kind>`` of steps: the nearest target by rise.
+
+    A step has low, high (whole rises, both included), distance and target. Every target has
+    a ``height``, and is a refuge for whole rises below it, from 0 on. Steps of a kind don't
+    overlap, and above the highest reachable target there is none. Ties go to the smallest
+    target id. All rises are searched at once, everywhere and without a limit of distance.
+    """
+    scope = list(scope)
+    if not all(t.height and t.search == Search() for t in targets.values()):
+        raise ValueError("a search over rises needs heights, and looks everywhere")
+    rows = flooded.withColumn("flood_group", F.lit(EVERYWHERE).cast("bigint"))
+    keys = [*scope, "flood_group", "cell"]
+    flood_cells = settle(rows.groupBy(*keys).agg(F.count("*").alias("n")))
+    target_cells = settle(_target_cells(targets, scope).filter("height > 0"))
+    seeds = settle(_seeds(flood_cells, target_cells, targets, scope))
+    found = settle(
+        flooded.sparkSession.sql(
+            _descent(targets, scope, res, graded=True),
+            seeds=seeds,
+            flood_cells=flood_cells,
+            target_cells=target_cells,
+        )
+    )
+    # At most as many steps a cell as there are heights, one row a cell.
+    of = [F.flatten(F.collect_list(F.when(F.col("kind") == k, F.col("steps")))).alias(k) for k in targets]
+    per_cell = found.groupBy(*keys).agg(*of)
+    return spread_join(rows, per_cell, keys, "flood_id", flood_cells, "left").drop("flood_group")
+
+
 def nearest_targets(
     flooded: DataFrame,
     targets: dict[str, Target],

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from floodplan.functions.checks import MAX_RISE_COUNTRY, MAX_RISE_PLANET, check_rise
 from floodplan.functions.grid import FINE_RES, ROUGH_RES
@@ -101,7 +102,7 @@ def evacuation_totals(
     searches: tuple[Search, Search] = EXHAUSTIVE,
     place_key: str = "name",
 ) -> DataFrame:
-    """Total evacuees for each of several rises, planned in one run."""
+    """Total evacuees for each of several rises, planned in one run; 0 where there are none."""
     rises = [check_rise(rise) for rise in rises]
     scope = ("rise",)
     places = at_rises(terrain.places, rises)
@@ -113,7 +114,11 @@ def evacuation_totals(
         place_key=place_key,
         scope=scope,
     )
-    return total_evacuees(relocation_plan(options, scope=scope), scope)
+    asked = terrain.places.sparkSession.createDataFrame([(r,) for r in sorted(set(rises))], "rise int")
+    totals = total_evacuees(relocation_plan(options, scope=scope), scope)
+    return asked.join(totals, "rise", "left").select(
+        "rise", F.coalesce("total_evacuees", F.lit(0.0)).alias("total_evacuees")
+    )
 
 
 def run(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floodplan.sources import schemas
@@ -56,14 +56,18 @@ def latest_by_city(updates: DataFrame, order: tuple[str, ...]) -> DataFrame:
     )
 
 
-def city_intensity(latest: DataFrame) -> DataFrame:
-    """Count relative to the largest city's, change relative to the city's own count.
-
-    The largest count is a single number, found by a partial maximum in every task.
-    """
-    largest = latest.agg(F.max("refugees")).scalar()
+def intensity(latest: DataFrame, largest: Column) -> DataFrame:
+    """Count relative to the largest city's, change relative to the city's own count."""
     return latest.filter(F.col("refugees") > 0).select(
         "*",
         (F.col("refugees") / largest).alias("count_scale"),
         F.coalesce(F.try_divide("change", "refugees"), F.lit(0.0)).alias("change_scale"),
     )
+
+
+def city_intensity(latest: DataFrame) -> DataFrame:
+    """The intensities of a finite table of latest values.
+
+    The largest count is a single number, found by a partial maximum in every task.
+    """
+    return intensity(latest, latest.agg(F.max("refugees")).scalar())

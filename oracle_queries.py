@@ -208,6 +208,18 @@ def _plan(options: str, missing: str = "false") -> str:
           safe_population FROM {options} WHERE NOT {near}"""
 
 
+def _every_rise(text: str) -> str:
+    """The same over all rises up to 95 m."""
+    for step in ("all_flooded", "all_safe", "city_pairs", "harbour_pairs"):
+        text = text.replace(step, f"every_{step}")
+    return text.replace(", rises", ", every_rise")
+
+
+STEPS["every_rise"] = "SELECT unnest(range(96))::INT AS rise"
+for _step in ("all_flooded", "all_safe", "city_pairs", "harbour_pairs"):
+    STEPS[f"every_{_step}"] = _every_rise(STEPS[_step])
+STEPS["every_options"] = _every_rise(_options("place"))
+STEPS["every_plan"] = _plan("every_options")
 STEPS["options"] = _options("place")
 STEPS["options_ring"] = _options("place", (1,))
 STEPS["options_id"] = _options("flood_id")
@@ -320,6 +332,10 @@ FINAL = {
     "total_evacuees": f"SELECT sum(num_evacuees) AS total_evacuees FROM plan WHERE rise = {RISE}",
     "evacuation_totals": """
         SELECT rise, sum(num_evacuees) AS total_evacuees FROM plan GROUP BY rise""",
+    "relocation_plans_by_rise": f"SELECT rise, {PLAN_COLUMNS} FROM every_plan",
+    "evacuation_curve": """
+        SELECT rise, coalesce(sum(num_evacuees), 0) AS total_evacuees
+        FROM every_rise LEFT JOIN every_plan USING (rise) GROUP BY rise""",
     "unassigned": f"""
         SELECT f.* FROM flooded f WHERE flood_id NOT IN (
           SELECT flood_id FROM city_pairs WHERE rise = {RISE} AND rough_distance <= 1)""",
@@ -361,6 +377,7 @@ FINAL = {
           round(refugees / (SELECT max(refugees) FROM latest)::DOUBLE, 6) AS count_scale,
           round(coalesce(change / refugees::DOUBLE, 0), 6) AS change_scale
         FROM latest WHERE refugees > 0""",
+    "city_latest_stream": "SELECT * FROM latest",
     "large_cities": "SELECT * FROM large_cities",
     "city_features": """
         SELECT CAST(geoname_id AS BIGINT) AS city_id, name, population FROM cities""",
@@ -374,6 +391,7 @@ FINAL = {
         ORDER BY -ln(u) / (population * floor(sqrt(population))), geoname_id::BIGINT
         LIMIT {SAMPLE_SIZE}""",
 }
+FINAL["city_intensity_stream"] = FINAL["city_intensity"]
 
 
 def oracle_sql() -> dict[str, str]:
