@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ from floodplan.session import settle, shared_dir
 from floodplan.sources import fixtures
 from floodplan.sources.files import (
     read_city_features,
+    read_city_records,
     read_elevation,
     read_nodes,
     read_plan,
@@ -34,7 +36,12 @@ from floodplan.sources.messages import read_message_files, write_message_files
 from floodplan.streaming import updates as U
 from floodplan.streaming.job import enriched_updates
 from floodplan.streaming.live import keep_live, live_cities, live_intensity
-from floodplan.streaming.ranged import read_updates, track_in_ranges
+from floodplan.streaming.ranged import (
+    read_malformed,
+    read_updates,
+    track_in_ranges,
+    track_messages,
+)
 from floodplan.streaming.replay import tracker_batch
 from floodplan.streaming.tracker import encode_updates, parse_events, track_refugees
 
@@ -350,17 +357,27 @@ def _stream_session(spark: SparkSession) -> SparkSession:
     return session
 
 
+def _halves(spark: SparkSession, sf_dir: str, source: str, files: int):
+    """Write the messages in order of time, so many files in each half; stops after each half."""
+    ranges = settle(
+        _messages(fixtures.refugee_events(spark, sf_dir))
+        .repartitionByRange(2 * files, "at_ms", "event_id")
+        .withColumn("range", F.spark_partition_id())
+    )
+    for number in range(2 * files):
+        rows = ranges.filter(F.col("range") == number).drop("range", "at_ms")
+        rows.coalesce(1).write.mode("append").json(source)
+        if number % files == files - 1:
+            yield
+
+
 def tracker_stream(spark, sf_dir):
-    """All updates of a stream that is stopped halfway and started again."""
+    """All updates of a stream of 12 batches that is stopped halfway and started again."""
     spark = _stream_session(spark)
     source, sink = _scratch(spark, "messages"), _scratch(spark, "updates")
     checkpoint = _scratch(spark, "checkpoint")
-    messages = _messages(fixtures.refugee_events(spark, sf_dir))
-    middle = messages.agg(F.expr("(min(at_ms) + max(at_ms)) div 2 AS middle")).first()["middle"]
-    for half in (F.col("at_ms") <= middle, F.col("at_ms") > middle):
-        messages.filter(half).drop("at_ms").write.mode("append").json(source)
-        # Files of one half have no order between them, so they make one batch.
-        arrivals, _ = parse_events(read_message_files(spark, source, max_files=1_000_000))
+    for _ in _halves(spark, sf_dir, source, 6):
+        arrivals, _ = parse_events(read_message_files(spark, source, max_files=1))
         updates = track_refugees(arrivals, WINDOW_SECONDS)
         writer = write_message_files(updates, sink, checkpoint)
         writer.trigger(availableNow=True).start().awaitTermination()
@@ -387,51 +404,94 @@ def tracker_stream_unordered(spark, sf_dir):
 
 
 def tracker_stream_ranged(spark, sf_dir):
-    """The same stream, each half cut into ranges instead of cities."""
+    """The same stream in six batches, each cut into ranges instead of cities."""
     spark = _stream_session(spark)
     source, folder = _scratch(spark, "messages"), _scratch(spark, "ranged")
-    messages = _messages(fixtures.refugee_events(spark, sf_dir))
-    middle = messages.agg(F.expr("(min(at_ms) + max(at_ms)) div 2 AS middle")).first()["middle"]
-    for half in (F.col("at_ms") <= middle, F.col("at_ms") > middle):
-        messages.filter(half).drop("at_ms").write.mode("append").json(source)
-        arrivals, _ = parse_events(read_message_files(spark, source, max_files=1_000_000))
+    for _ in _halves(spark, sf_dir, source, 3):
+        arrivals, _ = parse_events(read_message_files(spark, source, max_files=1))
         writer = track_in_ranges(arrivals, WINDOW_SECONDS, folder)
         writer.trigger(availableNow=True).start().awaitTermination()
     return read_updates(spark, folder)
 
 
+def messages_split_stream(spark, sf_dir):
+    """Where each message went, of a stream whose second batch fails once and is repeated."""
+    spark = _stream_session(spark)
+    source, folder = _scratch(spark, "messages"), _scratch(spark, "split")
+    messages = _messages(fixtures.refugee_events(spark, sf_dir)).drop("at_ms")
+    cut = F.when(F.col("event_id") % 100 == 7, F.left("value", F.lit(20))).otherwise(F.col("value"))
+    messages.withColumn("value", cut).repartition(4, "event_id").write.json(source)
+    failures = []
+
+    def publish(updates: DataFrame) -> None:
+        failures.append(None)
+        if len(failures) == 2:
+            raise RuntimeError("the sink is away")
+
+    for _ in range(2):
+        stream = read_message_files(spark, source, max_files=1)
+        query = track_messages(stream, WINDOW_SECONDS, folder, publish).trigger(availableNow=True).start()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if len(failures) != 2:
+                raise
+    good = read_updates(spark, folder).filter("arrival = 1").select("event_id", F.lit(False).alias("malformed"))
+    return good.union(read_malformed(spark, folder).select("event_id", F.lit(True)))
+
+
 def updates_json(spark, sf_dir):
     messages = encode_updates(batch_updates(spark, sf_dir))
     parsed = U.parse_updates(messages)
     return parsed.select(F.col("city_id").cast("string").alias("key"), *parsed.columns)
 
 
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cities as JSON features; every third has an area, all have a property of their own."""
+    ring = "array(array(0.0, 0.0), array(1.0, 0.0), array(1.0, 1.0), array(0.0, 0.0))"
+    area = f"to_json(named_struct('type', 'Polygon', 'coordinates', array({ring})))"
+    spot = "to_json(named_struct('type', 'Point', 'coordinates', array(0.0, 0.0)))"
+    number = F.col("geoname_id").cast("bigint")
+    properties = F.to_json(
+        F.struct("geoname_id", "name", "population", F.concat(F.lit("R"), number % 7).alias("region"))
+    )
+    geometry = F.when(number % 3 == 0, F.expr(area)).otherwise(F.expr(spot))
+    text = F.concat(
+        F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), geometry, F.lit("}")
+    )
+    return fixtures.cities(spark, sf_dir).select(number.alias("number"), text.alias("value"))
+
+
 def _city_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cities as features: written as GeoJSON collections and read back."""
-    cities = fixtures.cities(spark, sf_dir)
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct("geoname_id", "name", "population").alias("properties"),
-        F.struct(
-            F.lit("Point").alias("type"), F.array(F.lit(0.0), F.lit(0.0)).alias("coordinates")
-        ).alias("geometry"),
-    )
-    number = (F.col("geoname_id").cast("bigint") / FEATURES_PER_FILE).cast("bigint")
+    start, end = F.lit('{"type":"FeatureCollection","features":['), F.lit("]}")
     collections = (
-        cities.groupBy(number.alias("file"))
-        .agg(F.collect_list(feature).alias("features"))
-        .select(
-            "file",
-            F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias(
-                "value"
-            ),
-        )
+        _features(spark, sf_dir)
+        .groupBy((F.col("number") / FEATURES_PER_FILE).cast("bigint").alias("file"))
+        .agg(F.concat(start, F.array_join(F.collect_list("value"), ","), end).alias("value"))
     )
     path = _scratch(spark, "cities")
     collections.write.partitionBy("file").text(path)
     return read_city_features(spark, path)
 
 
+def city_records(spark, sf_dir):
+    """The cities of files with one feature a record, with what only the whole feature holds."""
+    path = _scratch(spark, "records")
+    _features(spark, sf_dir).select(F.concat(F.lit("\x1e"), "value").alias("value")).write.text(path)
+    return read_city_records(spark, path).select("city_id", "name", "population", *_of_feature())
+
+
+def _of_feature() -> list:
+    """Parts of a feature beyond id, name and population."""
+    part = lambda path, type: F.try_variant_get("feature", path, type)
+    return [
+        part("$.properties.region", "string").alias("region"),
+        part("$.geometry.type", "string").alias("geometry"),
+        part("$.geometry.coordinates[0][2][1]", "double").alias("corner"),
+    ]
+
+
 def city_features(spark, sf_dir):
     return _city_table(spark, sf_dir).select("city_id", "name", "population")
 
@@ -465,11 +525,12 @@ def updates_enriched_stream(spark, sf_dir):
         "event_id",
         "name",
         "population",
-        F.col("feature.geometry.type").alias("geometry"),
+        "feature",
     )
     writer = write_message_files(enriched, sink, _scratch(spark, "checkpoint"))
     writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(enriched.schema).json(sink)
+    told = spark.read.schema(enriched.schema).json(sink)
+    return told.select("*", *_of_feature()).drop("feature")
 
 
 def malformed_messages(spark, sf_dir):
@@ -582,6 +643,7 @@ def own_queries() -> dict[str, Query]:
         "tracker_stream": tracker_stream,
         "tracker_stream_unordered": tracker_stream_unordered,
         "tracker_stream_ranged": tracker_stream_ranged,
+        "messages_split_stream": messages_split_stream,
         "updates_json": updates_json,
         "updates_enriched": updates_enriched,
         "updates_enriched_stream": updates_enriched_stream,
@@ -595,6 +657,7 @@ def own_queries() -> dict[str, Query]:
         "city_intensity_stream": city_intensity_stream,
         "large_cities": large_cities,
         "city_features": city_features,
+        "city_records": city_records,
         "weighted_sample": sampled_cities,
     }
 

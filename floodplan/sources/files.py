@@ -30,33 +30,67 @@ def read_elevation(spark: SparkSession, path: str, format: str = "parquet") -> D
     return _checked(spark.read.format(format).load(path), schemas.ELEVATION)
 
 
-def read_city_features(spark: SparkSession, path: str) -> DataFrame:
-    """Cities of GeoJSON FeatureCollections: id, name, population and the feature.
+def _cities(features: DataFrame) -> DataFrame:
+    """Cities of a variant ``feature``: id, name, population and the whole feature, uncut.
 
-    A feature without id, name or population is skipped; a document that is broken or no
-    FeatureCollection is an error. A collection is one JSON document, which one task has to
-    parse; its cities are spread evenly right after.
+    A feature without id, name or population is skipped.
     """
-    document = spark.read.schema(schemas.FEATURE_COLLECTION).json(
-        path, multiLine=True, mode="FAILFAST"
-    )
-    wrong = F.raise_error(F.concat(F.lit("no FeatureCollection but "), F.coalesce("type", F.lit("none"))))
-    listed = F.when(F.col("type") == "FeatureCollection", F.col("features")).otherwise(wrong)
-    features = document.select(F.explode(listed).alias("feature"))
+    field = lambda name, type: F.variant_get("feature", f"$.properties.{name}", type)
     cities = features.select(
-        parse_id(F.col("feature.properties.geoname_id")).alias("city_id"),
-        F.col("feature.properties.name").alias("name"),
-        F.col("feature.properties.population").alias("population"),
+        parse_id(field("geoname_id", "string")).alias("city_id"),
+        field("name", "string").alias("name"),
+        field("population", "bigint").alias("population"),
         "feature",
     )
-    good = cities.filter(
+    return cities.filter(
         F.col("city_id").isNotNull()
         & (F.col("city_id") >= 0)
         & F.col("name").isNotNull()
         & F.col("population").isNotNull()
         & (F.col("population") >= 0)
     )
-    return good.repartition(spark.sparkContext.defaultParallelism)
+
+
+def read_city_features(spark: SparkSession, path: str) -> DataFrame:
+    """Cities of GeoJSON FeatureCollections: id, name, population and the feature.
+
+    The feature is a variant, whatever properties and geometry it has. A document that is
+    broken or no FeatureCollection is an error. A collection is one JSON document, which one
+    task has to parse; its cities are spread evenly right after. Files of records are
+    divisible, see ``read_city_records``.
+    """
+    document = (
+        spark.read.format("json")
+        .option("multiLine", True)
+        .option("mode", "FAILFAST")
+        .option("singleVariantColumn", "document")
+        .load(path)
+    )
+    kind = F.try_variant_get("document", "$.type", "string")
+    wrong = F.raise_error(F.concat(F.lit("no FeatureCollection but "), F.coalesce(kind, F.lit("none"))))
+    listed = F.variant_get("document", "$.features", "array<variant>")
+    features = document.select(
+        F.explode(F.when(kind == "FeatureCollection", listed).otherwise(wrong)).alias("feature")
+    )
+    return _cities(features).repartition(spark.sparkContext.defaultParallelism)
+
+
+def read_city_records(spark: SparkSession, path: str, separator: str = "\n") -> DataFrame:
+    """The same from files of one feature a record, which many tasks read at once.
+
+    Records end with line feeds, or begin with the record separator (``"\\x1e"``) and may
+    then take several lines. Empty records are skipped; one that is no JSON or no Feature is
+    an error.
+    """
+    records = spark.read.text(path, lineSep=separator).select(
+        F.trim(F.translate("value", "\x1e\r\n\t", "    ")).alias("value")
+    )
+    # Line breaks only stand between the parts of a record: inside a string JSON escapes them.
+    feature = F.col("feature")
+    kind = F.try_variant_get(feature, "$.type", "string")
+    wrong = F.raise_error(F.concat(F.lit("no Feature but "), F.coalesce(kind, F.lit("none"))))
+    parsed = records.filter("value <> ''").select(F.parse_json("value").alias("feature"))
+    return _cities(parsed.select(F.when(kind == "Feature", feature).otherwise(wrong).alias("feature")))
 
 
 def write_plan(plan: DataFrame, path: str) -> None:

@@ -22,36 +22,6 @@ ELEVATION = T.StructType(
     ]
 )
 
-CITY_PROPERTIES = T.StructType(
-    [
-        T.StructField("geoname_id", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("population", T.LongType()),
-    ]
-)
-
-POINT = T.StructType(
-    [
-        T.StructField("type", T.StringType()),
-        T.StructField("coordinates", T.ArrayType(T.DoubleType())),
-    ]
-)
-
-FEATURE = T.StructType(
-    [
-        T.StructField("type", T.StringType()),
-        T.StructField("properties", CITY_PROPERTIES),
-        T.StructField("geometry", POINT),
-    ]
-)
-
-FEATURE_COLLECTION = T.StructType(
-    [
-        T.StructField("type", T.StringType()),
-        T.StructField("features", T.ArrayType(FEATURE)),
-    ]
-)
-
 # An arrival as it travels in a message: milliseconds since the epoch, city and count.
 EVENT = T.StructType(
     [

@@ -17,7 +17,8 @@ from floodplan.sources.messages import (
     write_kafka,
     write_message_files,
 )
-from floodplan.streaming.ranged import track_in_ranges
+from floodplan.streaming.live import keep_live
+from floodplan.streaming.ranged import track_messages
 from floodplan.streaming.tracker import (
     EVENT_TIME,
     PROCESSING_TIME,
@@ -67,21 +68,33 @@ def run_in_ranges(
     window_seconds: int,
     checkpoint: str,
     trigger: str = "1 minute",
+    **options: str,
 ) -> list[StreamingQuery]:
-    """The same, with every batch cut into ranges; time is event time."""
+    """The same, with every batch cut into ranges; time is event time.
+
+    The topic is read once, by one query. Further options go to the source.
+    """
     window_seconds = check_window(window_seconds)
-    arrivals, malformed = parse_events(read_kafka(spark, servers, EVENTS_TOPIC))
+    messages = read_kafka(spark, servers, EVENTS_TOPIC, **options)
 
     def publish(updates: DataFrame) -> None:
         messages = encode_updates(updates).select("key", "value")
         sink = messages.write.format("kafka").option("kafka.bootstrap.servers", servers)
         sink.option("topic", UPDATES_TOPIC).save()
 
-    writers = [
-        track_in_ranges(arrivals, window_seconds, f"{checkpoint}/ranges", publish),
-        write_message_files(malformed, f"{checkpoint}/malformed-messages", f"{checkpoint}/malformed"),
-    ]
-    return [writer.trigger(processingTime=trigger).start() for writer in writers]
+    writer = track_messages(messages, window_seconds, f"{checkpoint}/ranges", publish)
+    return [writer.trigger(processingTime=trigger).start()]
+
+
+def run_live_map(
+    spark: SparkSession, servers: str, folder: str, trigger: str = "500 milliseconds", **options: str
+) -> StreamingQuery:
+    """Keep each city's latest count and change and the largest count in a folder.
+
+    Updates go by their place in the topic; further options go to the source.
+    """
+    updates = parse_updates(read_kafka(spark, servers, UPDATES_TOPIC, **options))
+    return keep_live(updates, folder).trigger(processingTime=trigger).start()
 
 
 def enriched_updates(messages: DataFrame, cities: DataFrame) -> DataFrame:
@@ -115,6 +128,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--event-time", action="store_true", help="expire by event time")
     parser.add_argument("--watermark", default="1 millisecond", help="disorder to allow for")
     parser.add_argument("--ranges", action="store_true", help="for one dominant city")
+    parser.add_argument("--cities", help="start the consumer too, with these city features")
+    parser.add_argument("--live", action="store_true", help="keep the live map's state too")
     given = parser.parse_args(arguments)
     window_seconds = check_window(given.window)
     spark = SparkSession.builder.appName("floodplan-tracker").getOrCreate()
@@ -123,6 +138,10 @@ def main(arguments: list[str] | None = None) -> None:
     else:
         time_mode = EVENT_TIME if given.event_time else PROCESSING_TIME
         run(spark, given.servers, window_seconds, given.checkpoint, time_mode, given.watermark)
+    if given.cities:
+        run_consumer(spark, given.servers, given.cities, f"{given.checkpoint}/consumer")
+    if given.live:
+        run_live_map(spark, given.servers, f"{given.checkpoint}/live")
     spark.streams.awaitAnyTermination()
 
 

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from floodplan.functions.checks import check_window
 from floodplan.streaming.replay import MOVE, ORDER, running_updates
+from floodplan.streaming.tracker import parse_events
 
 CITIES = "city_id bigint, city_name string, refugees bigint, change bigint"
 PENDING = "city_id bigint, city_name string, event_id bigint, refugees bigint, at_ms bigint"
@@ -111,6 +112,35 @@ def track_in_ranges(
     )
 
 
+def track_messages(
+    messages: DataFrame,
+    window_seconds: int,
+    folder: str,
+    publish: Callable[[DataFrame], None] | None = None,
+) -> DataStreamWriter:
+    """The same from messages, which are read once: malformed ones go to ``<folder>/malformed``.
+
+    One query splits every batch and writes both parts under its number, so after a failure
+    they agree: each message is in one of them, and once.
+    """
+    tracker = RangedTracker(window_seconds, folder, publish)
+
+    def split(batch_rows: DataFrame, batch: int) -> None:
+        kept = _kept(batch_rows, f"{folder}/work/messages")
+        arrivals, malformed = parse_events(kept)
+        malformed.write.mode("overwrite").parquet(f"{folder}/malformed/batch={batch}")
+        tracker(arrivals, batch)
+
+    return messages.writeStream.foreachBatch(split).option(
+        "checkpointLocation", f"{folder}/checkpoint"
+    )
+
+
+def read_malformed(spark: SparkSession, folder: str) -> DataFrame:
+    """All malformed messages set aside so far."""
+    return spark.read.parquet(f"{folder}/malformed").drop("batch")
+
+
 def read_updates(spark: SparkSession, folder: str) -> DataFrame:
     """All updates written so far."""
     return spark.read.parquet(f"{folder}/updates").drop("batch")

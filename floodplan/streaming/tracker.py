@@ -29,6 +29,7 @@ SLOTS = 64
 CHUNK_ROWS = 10_000
 # A chunk's key is its slot and, in the lower bits, its number in the slot.
 CHUNK_BITS = 20
+MAX_CHUNK = (1 << CHUNK_BITS) - 1
 PENDING = ("at_ms", "event_id", "refugees")
 EVENT_TIME, PROCESSING_TIME = "EventTime", "ProcessingTime"
 
@@ -202,6 +203,9 @@ class RefugeeTracker(StatefulProcessor):
                 chunk = city.chunks.pop(after - 1)
                 city.firsts.pop(after - 1)
                 rows = np.hstack([self._read(chunk), rows])
+            chunks = -(-rows.shape[1] // self.chunk_rows)
+            if (chunk & MAX_CHUNK) + chunks > MAX_CHUNK:
+                raise ValueError(f"more than {MAX_CHUNK} chunks leave in one slot; track in ranges")
             for start in range(0, rows.shape[1], self.chunk_rows):
                 self._write(city, chunk, rows[:, start : start + self.chunk_rows])
                 chunk += 1

@@ -244,6 +244,12 @@ STEPS["updates"] = """
 STEPS["large_cities"] = f"""
     SELECT CAST(geoname_id AS BIGINT) AS city_id, name, population FROM cities
     WHERE population > {LARGE_POPULATION}"""
+STEPS["features"] = """
+    SELECT CAST(geoname_id AS BIGINT) AS city_id, name, population,
+      concat('R', CAST(geoname_id AS BIGINT) % 7) AS region,
+      CASE WHEN CAST(geoname_id AS BIGINT) % 3 = 0 THEN 'Polygon' ELSE 'Point' END AS geometry,
+      CASE WHEN CAST(geoname_id AS BIGINT) % 3 = 0 THEN 1e0 END AS corner
+    FROM cities"""
 STEPS["latest"] = """
     SELECT city_id, arg_max(city_name, (at_ms, arrival, event_id)) AS city_name,
       arg_max(refugees, (at_ms, arrival, event_id)) AS refugees,
@@ -357,12 +363,14 @@ FINAL = {
         FROM updates u LEFT JOIN large_cities c ON c.city_id = u.city_id""",
     "updates_enriched_stream": """
         SELECT u.refugees AS count, u.change, u.city AS city_id, u.at_ms, u.arrival, u.event_id,
-          c.name, c.population, CASE WHEN c.city_id IS NOT NULL THEN 'Point' END AS geometry
+          c.name, c.population, c.region, c.geometry, c.corner
         FROM (
           SELECT *, CASE event_id % 50 WHEN 0 THEN NULL WHEN 1 THEN city_id + 1000000000
             ELSE city_id END AS city
           FROM updates WHERE event_id % 50 <> 2) u
-        LEFT JOIN large_cities c ON c.city_id = u.city""",
+        LEFT JOIN (SELECT f.* FROM features f JOIN large_cities USING (city_id)) c ON c.city_id = u.city""",
+    "messages_split_stream": """
+        SELECT event_id, event_id % 100 = 7 AS malformed FROM refugee_events""",
     "malformed_messages": """
         SELECT CAST(city_id AS VARCHAR) AS key, event_id, 20 AS n_chars
         FROM refugee_events WHERE event_id % 100 = 7""",
@@ -378,6 +386,7 @@ FINAL = {
           round(coalesce(change / refugees::DOUBLE, 0), 6) AS change_scale
         FROM latest WHERE refugees > 0""",
     "city_latest_stream": "SELECT * FROM latest",
+    "city_records": "SELECT * FROM features",
     "large_cities": "SELECT * FROM large_cities",
     "city_features": """
         SELECT CAST(geoname_id AS BIGINT) AS city_id, name, population FROM cities""",

@@ -1,7 +1,10 @@
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
 from floodplan.operators.sample import city_weight, evacuating, weighted_sample
-from floodplan.sources.files import read_city_features
+from floodplan.sources.files import read_city_features, read_city_records
 from floodplan.streaming import updates as U
 from floodplan.streaming.tracker import encode_updates, parse_events
 
@@ -89,9 +92,57 @@ def test_features(spark, tmp_path):
     cities = read_city_features(spark, str(path))
     assert {(r["city_id"], r["name"]) for r in cities.collect()} == {(1, "a"), (4, "d")}
     large = U.large_cities(cities).collect()
-    assert [(r["city_id"], r["feature"]["geometry"]["coordinates"]) for r in large] == [
+    assert [(r["city_id"], r["feature"].toPython()["geometry"]["coordinates"]) for r in large] == [
         (1, [1.0, 2.0])
     ]
+    path.write_text(text[:-1])
+    with pytest.raises(Exception):
+        read_city_features(spark, str(path)).collect()
+    path.write_text('{"type": "Topology", "features": []}')
+    with pytest.raises(Exception, match="no FeatureCollection but Topology"):
+        read_city_features(spark, str(path)).collect()
+
+
+def record(k, **more):
+    return json.dumps(
+        {
+            "type": "Feature",
+            "properties": {"geoname_id": str(k), "name": f"c\n{k}", "population": k, **more},
+            "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [k, 1], [0, 0]]]},
+        }
+    )
+
+
+def test_records_are_read_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "cities.ndjson"
+    path.write_text("".join(record(k, wiki={"en": [k]}) + "\n" for k in range(3000)) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        cities = read_city_records(spark, str(path))
+        parts = cities.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(parts) > 4 and sum(r["count"] for r in parts) == 3000
+    city = cities.filter("city_id = 77").first()
+    feature = city["feature"].toPython()
+    assert city["name"] == "c\n77" and feature["properties"]["wiki"] == {"en": [77]}
+    assert feature["geometry"]["coordinates"][0][1] == [77, 1]
+
+
+def test_records_with_separators(spark, tmp_path):
+    path = tmp_path / "cities.geojsons"
+    wide = json.dumps(json.loads(record(5)), indent=1)
+    path.write_text("\x1e" + record(1) + "\n\x1e" + wide + "\n")
+    found = read_city_records(spark, str(path), "\x1e").collect()
+    assert [(r["city_id"], r["name"]) for r in found] == [(1, "c\n1"), (5, "c\n5")]
+
+
+@pytest.mark.parametrize("broken", ['{"type": "Feature"', '{"type": "Point"}', "[1]"])
+def test_broken_records_are_errors(spark, tmp_path, broken):
+    path = tmp_path / "cities.ndjson"
+    path.write_text(record(1) + "\n" + broken + "\n")
+    with pytest.raises(Exception):
+        read_city_records(spark, str(path)).collect()
 
 
 def test_weighted_sample(spark):
