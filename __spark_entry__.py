@@ -28,6 +28,7 @@ from floodplan.sources.files import (
     read_elevation,
     read_nodes,
     read_plan,
+    read_plan_in_order,
     write_bucketed,
     write_destinations,
     write_plan,
@@ -282,6 +283,13 @@ def plan_orc_roundtrip(spark, sf_dir):
     return read_plan(spark, path)
 
 
+def plan_order(spark, sf_dir):
+    """The written plan with the position of each row."""
+    path = _scratch(spark, "ordered")
+    write_plan(settle(_plan(spark, sf_dir)), path)
+    return read_plan_in_order(spark, path)
+
+
 def _rounded(change: DataFrame) -> DataFrame:
     return change.withColumns(
         {c: F.round(c, 6) for c in ("old_population", "new_population")}
@@ -631,6 +639,7 @@ def own_queries() -> dict[str, Query]:
         "relocation_plan_by_id": relocation_plan_by_id,
         "relocation_plan_minus_one": relocation_plan_minus_one,
         "plan_orc_roundtrip": plan_orc_roundtrip,
+        "plan_order": plan_order,
         "destinations_orc_roundtrip": destinations_orc_roundtrip,
         "destination_change": destination_change,
         "destination_change_by_id": destination_change_by_id,

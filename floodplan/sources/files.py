@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from floodplan.functions.parsing import parse_id
@@ -104,6 +104,27 @@ def read_plan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("place string, num_evacuees double, destination string").orc(path)
 
 
+def read_plan_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """The written plan with each row's ``position``, from 1, in the order of the files.
+
+    Rows are numbered within their file, and files by how many rows lie in those before.
+    """
+    rows = read_plan(spark, path).select(
+        "*", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("row")
+    )
+    # One row for each file.
+    sizes = rows.groupBy("file").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("file", F.coalesce(before, F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("file").orderBy("row"))
+    return (
+        rows.withColumn("within", within)
+        .join(starts, "file")
+        .withColumn("position", F.col("before") + F.col("within"))
+        .drop("file", "row", "within", "before")
+    )
+
+
 def write_destinations(change: DataFrame, path: str) -> None:
     """The destinations' change of population as ORC, replacing what was there."""
     change.write.mode("overwrite").orc(path)

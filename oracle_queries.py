@@ -332,6 +332,10 @@ FINAL = {
     "relocation_plan_by_id": _at_rise("plan_id", PLAN_COLUMNS),
     "relocation_plan_minus_one": _at_rise("plan_minus_one", PLAN_COLUMNS),
     "plan_orc_roundtrip": _at_rise("plan", "place, num_evacuees, destination"),
+    "plan_order": f"""
+        SELECT place, num_evacuees, destination,
+          row_number() OVER (ORDER BY place, destination, flood_id) AS position
+        FROM plan WHERE rise = {RISE}""",
     "destinations_orc_roundtrip": _change("plan", "destination"),
     "destination_change": _change("plan", "destination"),
     "destination_change_by_id": _change("plan_id", "destination, destination_id"),
