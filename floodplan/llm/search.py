@@ -177,18 +177,23 @@ def _rank(query, top: int):
                     continue
                 places, times = at["places"].to_numpy(), at["times"].to_numpy()
                 m = 10 + (90 * lengths * n_docs) // n_terms
-                parts = np.zeros((len(terms), len(ids)), np.int64)
-                line = np.repeat(np.arange(len(terms)), counts)
-                parts[line, places] = (1_000_000_000 * times) // (1000 * times + 8 * m[places])
-                held = np.zeros(parts.shape, np.uint8)
-                held[line, places] = 1
-                best = parts.max(axis=1)
+                part = (1_000_000_000 * times) // (1000 * times + 8 * m[places])
+                starts = np.cumsum(counts) - counts
+                best = np.maximum.reduceat(part, starts)
                 for item, wanted in items.items():
                     lines = np.searchsorted(terms, wanted)
                     lines = lines[(lines < len(terms)) & (terms[np.minimum(lines, len(terms) - 1)] == wanted)]
-                    if len(lines):
-                        w = weights[terms[lines]]
-                        rank_block(rankings[item], held[lines], parts[lines], w, best[lines], ids)
+                    if not len(lines):
+                        continue
+                    # Only the postings of the item's own terms become a table.
+                    size = counts[lines]
+                    at_line = np.repeat(np.arange(len(lines)), size)
+                    posting = np.arange(size.sum()) + np.repeat(starts[lines] - (np.cumsum(size) - size), size)
+                    parts = np.zeros((len(lines), len(ids)), np.int64)
+                    held = np.zeros(parts.shape, np.uint8)
+                    parts[at_line, places[posting]] = part[posting]
+                    held[at_line, places[posting]] = 1
+                    rank_block(rankings[item], held, parts, weights[terms[lines]], best[lines], ids)
         found = [(i, d, s) for i, r in rankings.items() for d, s in zip(r.ids.tolist(), r.scores.tolist())]
         columns = list(zip(*found)) or [(), (), ()]
         columns[1] = [None if d == NO_ID else d for d in columns[1]]
