@@ -194,4 +194,4 @@ def test_pipeline(spark):
     ids = [r.doc_id for r in found.select("doc_id").collect()]
     assert 0.5 * docs.count() < len(ids) == len(set(ids)) <= docs.count()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_copies", "benchmark", "secrets", "tokens"]
-    assert len(queries()) == 10
+    assert len(queries()) == 13
