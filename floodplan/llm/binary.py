@@ -20,11 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from floodplan.session import shared_dir
+from floodplan.llm.text import text_hash
+from floodplan.session import settle, shared_dir
 
 #: Ids in a sequence; sequences in a shard; the id that fills up, which no vocabulary has.
 LENGTH, SHARD, PAD = 256, 4096, 65535
 KEY, TURNS = 20_240_601, 6
+#: Sequences that are put into one Arrow batch; bytes of records in a task, about.
+SLICE, TASK_BYTES = 16_384, 64_000_000
 REMEMBERED = 200_000
 #: A space between visible characters, where no token goes across but that which it begins.
 _CUT = re.compile(r"(?<=[!-~¡-ɏ]) (?=[!-~¡-ɏ])")
@@ -84,10 +87,27 @@ def feistel(numbers: np.ndarray, count: int, key: int = KEY) -> np.ndarray:
     return slots.astype(np.int64)
 
 
+def _in_order(docs: DataFrame) -> DataFrame:
+    """The rows in ranges of (doc_id, hash of the text), nulls first, and sorted within them.
+
+    However the input is split, the order is the same, as rows alike in both are equal. What
+    they are parted by is their place, so that copies of one row don't share a range.
+    """
+    key = ("doc_id", "text_key", "place")
+    rows = docs.select(
+        "doc_id",
+        "text",
+        text_hash(F.col("text")).alias("text_key"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    return rows.repartitionByRange(*key).sortWithinPartitions(*key)
+
+
 def _tokenized(docs: DataFrame, path: str, length: int) -> DataFrame:
     """(task, first, doc_id, n_sequences, n_tokens, ids), a settled table.
 
-    ``first`` is the number of a document's first sequence among those of its task.
+    ``first`` is the number of a document's first sequence among those of its task, and
+    tasks are numbered in the order of ``_in_order``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +132,7 @@ def _tokenized(docs: DataFrame, path: str, length: int) -> DataFrame:
             )
 
     kind = "task int, first long, doc_id long, n_sequences long, n_tokens long, ids binary"
-    found = docs.select("doc_id", "text").mapInArrow(run, kind)
+    found = _in_order(docs).select("doc_id", "text").mapInArrow(run, kind)
     spark = docs.sparkSession
     # As ``settle``, compressed harder: the ids are most of what this operator keeps.
     folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
@@ -120,59 +140,76 @@ def _tokenized(docs: DataFrame, path: str, length: int) -> DataFrame:
     return spark.read.schema(found.schema).parquet(folder)
 
 
+def _records(ids: list[bytes], rows: np.ndarray, within: np.ndarray, size: int) -> bytes:
+    """The records of consecutive sequences: (document, number within it) of each."""
+    documents, starts = np.unique(rows, return_index=True)
+    ends = [*starts[1:], len(rows)]
+    parts = []
+    for document, start, end in zip(documents, starts, ends):
+        first, last = int(within[start]), int(within[end - 1]) + 1
+        parts.append(ids[document][first * size : last * size].ljust((last - first) * size, b"\xff"))
+    return b"".join(parts)
+
+
 def training_order(docs: DataFrame, path: str, length: int = LENGTH, shard: int = SHARD, key: int = KEY) -> DataFrame:
     """(slot, shard, place, doc_id, sequence, n_tokens, record), in order of slots.
 
     ``record`` has ``length`` ids as 16-bit numbers, low byte first, the last of a document
-    filled up with PAD. Slots are 0 to the number of sequences less one, each once. A null
-    or empty text has no sequences; repeated rows have their own; a null doc_id stays null.
+    filled up with PAD. Slots are 0 to the number of sequences less one, each once. They
+    depend on the rows alone, not on files or partitions. A null or empty text has no
+    sequences; repeated rows have their own; a null doc_id stays null.
     """
     tokens = _tokenized(docs, path, length)
-    # A row for each task that tokenized.
+    # A row for each task that tokenized; as a table its true size decides how it is joined.
     sizes = tokens.groupBy("task").agg(F.sum("n_sequences").alias("n"))
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"), "n")
-    found = offsets.collect()
-    count = sum(r.n for r in found)
-    start = {r.task: r.offset for r in found}
+    offsets = settle(sizes.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"), "n"))
+    count = offsets.agg(F.sum("n")).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = {name: batch.column(name) for name in batch.schema.names}
-            sequences = at["n_sequences"].to_numpy()
-            rows = np.repeat(np.arange(len(batch)), sequences)
-            within = np.arange(len(rows)) - np.repeat(np.cumsum(sequences) - sequences, sequences)
-            offset = np.array([start[t] for t in at["task"].to_pylist()], np.int64)
-            number = (offset + at["first"].to_numpy())[rows] + within
-            slots = feistel(number, count, key)
-            filled = [
-                i + b"\xff" * (2 * length * int(n) - len(i))
-                for i, n in zip(at["ids"].to_pylist(), sequences)
-            ]
-            data = b"".join(filled)
-            records = pa.Array.from_buffers(
-                pa.binary(),
-                len(rows),
-                [None, pa.py_buffer(np.arange(len(rows) + 1, dtype=np.int32) * 2 * length), pa.py_buffer(data)],
-            )
-            left = at["n_tokens"].to_numpy()[rows] - within * length
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(slots, pa.int64()),
-                    pa.array(slots // shard, pa.int64()),
-                    pa.array((slots % shard).astype(np.int32), pa.int32()),
-                    at["doc_id"].take(pa.array(rows)),
-                    pa.array(within, pa.int64()),
-                    pa.array(np.minimum(left, length).astype(np.int32), pa.int32()),
-                    records,
-                ],
-                ["slot", "shard", "place", "doc_id", "sequence", "n_tokens", "record"],
-            )
-
+            ids = batch.column("ids").to_pylist()
+            sequences = batch.column("n_sequences").to_numpy()
+            first = batch.column("first").to_numpy()
+            tokens_of = batch.column("n_tokens").to_numpy()
+            starts = np.cumsum(sequences) - sequences
+            for low in range(0, int(sequences.sum()), SLICE):
+                at = np.arange(low, min(low + SLICE, int(sequences.sum())))
+                rows = np.searchsorted(starts, at, side="right") - 1
+                within = at - starts[rows]
+                slots = feistel(first[rows] + within, count, key)
+                data = _records(ids, rows, within, 2 * length)
+                bounds = np.arange(len(at) + 1, dtype=np.int32) * 2 * length
+                records = pa.Array.from_buffers(
+                    pa.binary(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(data)]
+                )
+                left = tokens_of[rows] - within * length
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(slots, pa.int64()),
+                        pa.array(slots // shard, pa.int64()),
+                        pa.array((slots % shard).astype(np.int32), pa.int32()),
+                        batch.column("doc_id").take(pa.array(rows)),
+                        pa.array(within, pa.int64()),
+                        pa.array(np.minimum(left, length).astype(np.int32), pa.int32()),
+                        records,
+                    ],
+                    ["slot", "shard", "place", "doc_id", "sequence", "n_tokens", "record"],
+                )
+
+    numbered = (
+        tokens.filter("n_sequences > 0")
+        .join(offsets.drop("n"), "task")
+        .select((F.col("first") + F.col("offset")).alias("first"), "doc_id", "n_sequences", "n_tokens", "ids")
+    )
     kind = "slot long, shard long, place int, doc_id long, sequence long, n_tokens int, record binary"
-    placed = tokens.filter("n_sequences > 0").mapInArrow(run, kind)
+    placed = numbered.mapInArrow(run, kind)
     # Slots are a permutation, so shards are even and their ranges are known beforehand.
-    return placed.repartition("shard").sortWithinPartitions("shard", "place")
+    shards = max(1, -(-count // shard))
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(shards, max(least, -(-count * 2 * length // TASK_BYTES)))
+    part = F.floor(F.col("shard") * parts / shards).cast("int")
+    return placed.repartitionById(parts, part).sortWithinPartitions("shard", "place")
 
 
 def stride(length: int = LENGTH) -> int:
