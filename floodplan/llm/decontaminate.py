@@ -1,11 +1,13 @@
 """Benchmark passages in documents, found through a positional inverted index.
 
-The index keeps, for every document, the benchmark's terms at their positions. Counts of
-all terms over all documents say which term of a window is the rarest; the postings of
-these terms alone are looked up. A posting brings along what stands around it, so that the
-lists of the window's other terms, moved by their distance from the rarest, are intersected
-with it in place: a run of equal words as long as the window is an exact match, and a
-window whose terms stand near in another order is a proximity match.
+The index keeps the words of every document by position. Counts of all terms over all
+documents say which term of a window is the rarest; the lists of these terms, (document,
+place) by term, are stored. Each of their places brings along what stands around it, so that
+the lists of the window's other terms, moved by their distance from the rarest, are
+intersected with it in place: a run of equal words as long as the window is an exact match,
+and a window whose terms stand near in another order is a proximity match.
+
+A text's words lie in one array, so a text may have as many as fit into a row.
 """
 
 from __future__ import annotations
@@ -14,31 +16,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from floodplan.llm.text import ascii_words, same_document, text_hash
+from floodplan.operators.skew import heavy_keys
 from floodplan.session import settle
 
 WINDOW = 10
 #: Share of a window's terms that make a proximity match.
 NEAR = 0.8
-#: A larger benchmark vocabulary isn't sent along with the scan: the index then keeps the
-#: documents' other words too. Results are the same.
-VOCABULARY = 100_000
-
-
-def positional_index(docs: DataFrame, benchmark: DataFrame, limit: int = VOCABULARY) -> DataFrame:
-    """(doc_id, text_key, n_words, terms): the word at each position, or null if it is none of
-    the benchmark's. A table in the shared folder, one row for each row of ``docs``."""
-    terms = benchmark.select(F.explode(ascii_words(F.col("text"))).alias("term")).distinct()
-    known = [r.term for r in terms.limit(limit + 1).collect()]
-    words = F.col("words")
-    if len(known) <= limit:
-        words = F.transform(words, lambda w: F.when(w.isin(known or [""]), w))
+
+
+def positional_index(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, n_words, words): the word at each position. A table in the shared
+    folder, one row for each row of ``docs``."""
     found = docs.select(
         "doc_id", text_hash(F.col("text")).alias("text_key"), ascii_words(F.col("text")).alias("words")
     )
-    return settle(
-        found.select(
-            "doc_id", "text_key", F.size("words").cast("long").alias("n_words"), words.alias("terms")
-        )
+    return settle(found.withColumn("n_words", F.size("words").cast("long")))
+
+
+def postings(index: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, doc_id, text_key, place) of all occurrences of some ``terms``, a stored table.
+
+    Spark sends the terms to all tasks if their table is small, and else sorts both sides.
+    """
+    places = index.select("doc_id", "text_key", F.posexplode("words").alias("place", "term"))
+    return settle(places.join(terms, "term").select("term", "doc_id", "text_key", "place"))
+
+
+def _in_context(index: DataFrame, listed: DataFrame, span: int) -> DataFrame:
+    """(doc_id, text_key, place, term, around) of all places listed."""
+    places = listed.groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("places"))
+    at = F.transform(
+        F.col("places"), lambda p: F.struct(p.alias("place"), _around(F.col("words"), p, span).alias("around"))
+    )
+    found = index.join(places, same_document(index, places)).select(
+        index["doc_id"], index["text_key"], F.explode(at).alias("at")
+    )
+    return found.select(
+        "doc_id", "text_key", "at.place", "at.around", F.get("at.around", F.lit(span - 1)).alias("term")
     )
 
 
@@ -57,7 +71,7 @@ def anchors(
     Rarest by its count over all documents; ties go to the smaller term and place. Texts
     that share an id have windows of their own. Items without an id count if ``unnamed``.
     """
-    counts = index.select(F.explode("terms").alias("term")).groupBy("term").count()
+    counts = index.select(F.explode("words").alias("term")).groupBy("term").count()
     items = (
         (benchmark if unnamed else benchmark.filter("item_id IS NOT NULL"))
         .select("item_id", ascii_words(F.col("text")).alias("words"))
@@ -102,29 +116,24 @@ def matches(
     item's around one anchor, and so overlaps the run around the next.
     """
     found = settle(anchors(index, benchmark, span, unnamed))
-    rare = found.select("term").distinct()
-    known = [r.term for r in rare.limit(VOCABULARY + 1).collect()]
-    hit = lambda w: w.isNotNull() if len(known) > VOCABULARY else w.isin(known or [""])
-    places = F.filter(
-        F.transform(F.col("terms"), lambda w, i: F.when(hit(w), i)), lambda i: i.isNotNull()
+    listed = postings(index, found.select("term").distinct())
+    # A term with more than its share of places is dealt out, its windows copied to each part.
+    heavy = F.broadcast(heavy_keys(listed.groupBy("term").agg(F.count("*").alias("n")), ["term"]))
+    parts = F.coalesce("parts", F.lit(1))
+    part = F.pmod(F.xxhash64("doc_id", "text_key", "place"), parts).cast("int")
+    dealt = _in_context(index, listed, span).join(heavy, "term", "left").withColumn("part", part).drop("parts")
+    copied = (
+        found.join(heavy, "term", "left")
+        .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .drop("parts")
     )
-    postings = index.select(
-        "doc_id",
-        "text_key",
-        F.explode(
-            F.transform(
-                places,
-                lambda i: F.struct(i.alias("place"), _around(F.col("terms"), i, span).alias("around")),
-            )
-        ).alias("at"),
-    ).select("doc_id", "text_key", "at.place", "at.around", F.get("at.around", F.lit(span - 1)).alias("term"))
     equal = F.zip_with("around", "context", lambda x, y: F.coalesce(x == y, F.lit(False)))
     run = lambda part: F.when(
         F.array_position(part, F.lit(False)) == 0, F.lit(span - 1)
     ).otherwise(F.array_position(part, F.lit(False)) - 1)
     shared = F.size(F.array_intersect(F.array_compact("around"), F.array_compact("context")))
     joined = (
-        postings.join(found, "term")
+        dealt.join(copied, ["term", "part"])
         .withColumn("equal", equal)
         .withColumn("left", run(F.reverse(F.slice("equal", 1, span - 1))).cast("int"))
         .withColumn("right", run(F.slice("equal", span + 1, span - 1)).cast("int"))
@@ -152,7 +161,7 @@ def contamination(
     as one item that ``items_sha256`` doesn't list.
     Equal texts with equal ids are searched together and give equal rows.
     """
-    index = positional_index(docs, benchmark)
+    index = positional_index(docs)
     found = settle(matches(index, benchmark, span, unnamed=unnamed).distinct())
     key = ["doc_id", "text_key"]
     exact = found.filter("kind = 'exact'")
@@ -200,7 +209,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = WINDOW)
 
     Items without an id count like any.
     """
-    index = positional_index(docs, benchmark)
+    index = positional_index(docs)
     found = matches(index, benchmark, span, unnamed=True).filter("kind = 'exact'")
     bad = settle(found.select("doc_id", "text_key").distinct())
     rows = docs.select(

@@ -48,14 +48,36 @@ def test_windows(spark):
     assert found[found.doc_id == 7].n_near.item() == 1
 
 
-def test_a_large_vocabulary_gives_the_same(spark):
+def test_places_of_one_match(spark):
     texts = docs(spark, [(1, "a b c d e f g h i j k"), (2, "a b c")])
     items = spark.createDataFrame([(1, "b c d e f g h i j k")], "item_id long, text string")
-    index = decontaminate.positional_index(texts, items, limit=2)
+    index = decontaminate.positional_index(texts)
     assert decontaminate.matches(index, items).select("first", "last").distinct().count() == 1
     assert decontaminate.drop_contaminated(texts, items).select("doc_id").collect() == [(2,)]
 
 
+def test_a_large_vocabulary(spark):
+    """150,000 terms, one of them in every document and window."""
+    items = spark.range(15_000).selectExpr(
+        "id AS item_id", "concat_ws(' ', 'the', transform(sequence(0, 9), k -> concat('w', 10 * id + k))) AS text"
+    )
+    texts = spark.range(300).selectExpr(
+        "id AS doc_id",
+        "concat_ws(' ', repeat('the ', 40), 'the', transform(sequence(0, 9 - cast(id % 2 as int) * 2), "
+        "k -> concat('w', 10 * id + k))) AS text",
+    )
+    found = decontaminate.contamination(texts, items).collect()
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in found} == {i: (0, 0) if i % 2 else (11, 1) for i in range(300)}
+
+
+def test_a_term_that_is_everywhere(spark):
+    """All windows hang on one term, which is dealt out over parts."""
+    items = spark.createDataFrame([(1, "the the the"), (2, "the a")], "item_id long, text string")
+    texts = spark.range(500).selectExpr("id AS doc_id", "repeat(if(id % 2 = 0, 'the ', 'the b '), 30) AS text")
+    found = decontaminate.contamination(texts, items).collect()
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in found} == {i: (0, 0) if i % 2 else (30, 1) for i in range(500)}
+
+
 def test_no_documents_and_no_items(spark):
     none = docs(spark, []), spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(*none).count() == 0
