@@ -43,13 +43,20 @@ def postings(index: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def _in_context(index: DataFrame, listed: DataFrame, span: int) -> DataFrame:
-    """(doc_id, text_key, place, term, around) of all places listed."""
+    """(doc_id, text_key, place, term, around) of all places listed.
+
+    Words move as one string, which takes less room than an array; no word holds a space."""
     places = listed.groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("places"))
+    texts = index.select("doc_id", "text_key", F.array_join("words", " ").alias("content"))
+    # Split as an argument of ``transform``, once a text and not once a place.
     at = F.transform(
-        F.col("places"), lambda p: F.struct(p.alias("place"), _around(F.col("words"), p, span).alias("around"))
+        F.array(F.split("content", " ")),
+        lambda words: F.transform(
+            F.col("places"), lambda p: F.struct(p.alias("place"), _around(words, p, span).alias("around"))
+        ),
     )
-    found = index.join(places, same_document(index, places)).select(
-        index["doc_id"], index["text_key"], F.explode(at).alias("at")
+    found = texts.join(places, same_document(texts, places)).select(
+        texts["doc_id"], texts["text_key"], F.explode(F.flatten(at)).alias("at")
     )
     return found.select(
         "doc_id", "text_key", "at.place", "at.around", F.get("at.around", F.lit(span - 1)).alias("term")
