@@ -31,7 +31,7 @@ def op1_simhash(spark, sf_dir):
 
 
 def op2_licences(spark, sf_dir):
-    return licences.licence_scan(_table(spark, sf_dir, "documents"))
+    return licences.licence_scan(_table(spark, sf_dir, "documents")).drop("licences")
 
 
 def op3_pieces(spark, sf_dir):
