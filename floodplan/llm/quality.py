@@ -1,8 +1,9 @@
 """Quality of documents by co-training two classifiers that see different things.
 
-One sees the text's content: marks, capitals, digits, repetition. The other sees what is
-known of the page: source, language and length. Each is a naive Bayes classifier over
-features hashed to a fixed number of buckets, fitted by counts over all rows. In every round
+One sees the text's content: its words, marks, capitals, digits, repetition. The other sees
+what is known of the page: source, language and both together. Each is a naive Bayes classifier
+over features hashed to a fixed number of buckets, fitted by counts over all rows; buckets of
+words count only where good and bad differ by more than chance. In every round
 each is calibrated on labelled rows kept aside, and labels those unlabelled rows it is sure
 of for the other. At the end the calibrated views are combined.
 """
@@ -13,6 +14,7 @@ import math
 from collections import Counter
 from dataclasses import dataclass
 from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -24,6 +26,10 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 from floodplan.session import settle
 
 BUCKETS = 4096
+#: More buckets for the words of texts.
+WORDS = 16384
+#: A word's log odds count from so many standard errors on.
+ERRORS = 3.0
 ROUNDS = 3
 #: A view labels rows for the other above this probability, or below its complement.
 SURE = 0.95
@@ -48,7 +54,7 @@ def _hashed(features: set[tuple]) -> list[int]:
 
 
 def text_features(text: str | None) -> list[int]:
-    """Buckets of what a text's content shows; null and empty are a feature of their own."""
+    """Buckets of what a text's content shows and of its words; null and empty are a feature of their own."""
     words = (text or "").split()
     if not words:
         return _hashed({("empty",)})
@@ -71,7 +77,7 @@ def text_features(text: str | None) -> list[int]:
         share = _bucket(count / n)
         if share > 2:
             found.add(("mark", mark, share))
-    return _hashed(found)
+    return _hashed(found) + sorted({BUCKETS + crc32(w) % WORDS for w in set(raw.lower().split())})
 
 
 @pandas_udf(ArrayType(IntegerType()))
@@ -80,12 +86,10 @@ def _text_features(text: pd.Series) -> pd.Series:
 
 
 def page_features() -> Column:
-    """Buckets of source, language and length; nulls are values like any other."""
-    size = F.floor(F.log2(F.coalesce(F.length("text"), F.lit(0)) + 1))
-    each = [("source", F.col("source")), ("lang", F.col("lang")), ("size", size)]
-    return F.array(
-        *[F.pmod(F.xxhash64(F.lit(name), value.cast("string")), F.lit(BUCKETS)).cast("int") for name, value in each]
-    )
+    """Buckets of source, language and both; nulls are values like any other."""
+    each = [("source",), ("lang",), ("source", "lang")]
+    hashed = lambda names: F.xxhash64(F.lit(" ".join(names)), *[F.col(n).cast("string") for n in names])
+    return F.array(*[F.pmod(hashed(names), F.lit(BUCKETS)).cast("int") for names in each])
 
 
 @dataclass
@@ -100,7 +104,13 @@ class View:
         return self.slope * self.raw(features) + self.shift
 
     def raw(self, features: pd.Series) -> np.ndarray:
-        return np.array([self.odds[np.asarray(f, np.int64)].sum() for f in features], float)
+        return np.array([self._sum(np.asarray(f, np.int64)) for f in features], float)
+
+    def _sum(self, buckets: np.ndarray) -> float:
+        """Words, which hang together, count with the mean of their log odds."""
+        odds = self.odds[buckets]
+        words = buckets >= BUCKETS
+        return odds[~words].sum() + (odds[words].mean() if words.any() else 0.0)
 
 
 @dataclass
@@ -180,12 +190,14 @@ def _fit(rows: DataFrame, text: View | None, page: View | None) -> tuple[View, V
     for name in ("text", "page"):
         mine = counts[counts["view"] == name]
         total = mine[mine["bucket"] == -1]
-        good, bad = np.zeros(BUCKETS), np.zeros(BUCKETS)
+        good, bad = np.zeros(BUCKETS + WORDS), np.zeros(BUCKETS + WORDS)
         some = mine[mine["bucket"] >= 0]
         good[some["bucket"]], bad[some["bucket"]] = some["good"], some["bad"]
         n_good, n_bad = total["good"].sum(), total["bad"].sum()
         odds = np.log((good + 1) / (n_good + 2)) - np.log((bad + 1) / (n_bad + 2))
         odds[good + bad == 0] = 0.0
+        chance = np.abs(odds) < ERRORS * np.sqrt(1 / (good + 1) + 1 / (bad + 1))
+        odds[BUCKETS:][chance[BUCKETS:]] = 0.0
         views.append(View(odds))
     return tuple(views)
 
