@@ -190,10 +190,10 @@ def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         done = []
-        for conv, turn, role, key, blank, truncated, n, first, part in batch[
-            ["conv", "turn", "role", "key", "blank", "truncated", "n", "first", "part"]
+        for conv, turn, known, role, key, blank, truncated, n, first, part in batch[
+            ["conv", "turn", "known", "role", "key", "blank", "truncated", "n", "first", "part"]
         ].itertuples(index=False):
-            turn = None if pd.isna(turn) else int(turn)
+            turn = int(turn) if known else None
             initial = role[:1]
             while n:
                 if now is None or now["conv"] != conv or now["n"] >= SEGMENT:
@@ -229,7 +229,11 @@ def segments(rows: DataFrame) -> DataFrame:
     """The damaged rows' segments, settled; a conversation may lie in several ranges."""
     order = ("conv", *ORDER)
     ranges = _slim(rows).repartitionByRange(*order).sortWithinPartitions(*order)
-    return settle(ranges.withColumn("part", F.spark_partition_id()).mapInPandas(_segments, SEGMENTS))
+    # Beside nulls pandas would make doubles of turns.
+    told = ranges.withColumns(
+        {"part": F.spark_partition_id(), "known": F.col("turn").isNotNull(), "turn": F.coalesce("turn", F.lit(0))}
+    )
+    return settle(told.mapInPandas(_segments, SEGMENTS))
 
 
 SOLVED = "ending string, signature string, costs array<long>, audits array<string>, leaves array<int>"
@@ -268,17 +272,23 @@ def _unit(q: int) -> str:
 
 
 def _endings(group: pd.DataFrame) -> pd.DataFrame:
-    """What each segment of a conversation is followed by: the matrices combined from the end."""
+    """What each segment of a conversation is followed by: the matrices combined from the end.
+
+    ``after`` is what the ending leaves out of the costs of all that follows.
+    """
     group = group.sort_values(["part", "no"], ascending=False)
-    costs, found = list(last_node()[0]), []
+    costs, found, after = list(last_node()[0]), [], []
     for place, row in enumerate(group.itertuples()):
         least = min(costs)
-        # The last segment ends as a whole conversation does; only differences matter.
+        # The last segment ends as a whole conversation does; equal endings are solved once,
+        # so they have differences of costs only.
         found.append(END if place == 0 else ",".join(str(c - least) for c in costs))
+        after.append(least + (after[-1] if after else 0))
         through = list(last_node()[0]) if place == 0 else [c - least for c in costs]
         matrix = [row.matrix[4 * q : 4 * q + 4] for q in STATES]
         costs = [min(min(int(matrix[q][p]) + through[p] for p in STATES), NEVER) for q in STATES]
-    return pd.DataFrame({"conv": group["conv"], "part": group["part"], "no": group["no"], "ending": found})
+    place = {c: group[c] for c in ("conv", "part", "no")}
+    return pd.DataFrame(place | {"ending": found, "after": after})
 
 
 def _entries(group: pd.DataFrame) -> pd.DataFrame:
@@ -320,7 +330,7 @@ def audits(found: DataFrame) -> DataFrame:
         cut.join(listed.select("signature", matrix.alias("matrix")), "signature")
         .select(*place, "matrix")
         .groupBy("conv")
-        .applyInPandas(_endings, "conv string, part int, no int, ending string")
+        .applyInPandas(_endings, "conv string, part int, no int, ending string, after long")
     )
     ended = settle(cut.join(endings, place))
     ways = settle(solved(ended.select("ending", "signature"), tuple(STATES)))
@@ -328,8 +338,9 @@ def audits(found: DataFrame) -> DataFrame:
     states = joined.select(*place, "leaves").groupBy("conv").applyInPandas(
         _entries, "conv string, part int, no int, state int"
     )
+    cost = F.col("costs")[F.col("state")] + F.col("after")
     long = joined.join(states, place).select(
-        *place, *ORDER, F.col("audits")[F.col("state")].alias("audit"), F.col("costs")[F.col("state")].alias("cost")
+        *place, *ORDER, F.col("audits")[F.col("state")].alias("audit"), cost.alias("cost")
     )
     return plain.select(*columns).union(long.select(*columns))
 
@@ -453,7 +464,8 @@ def repair_report(turns: DataFrame) -> DataFrame:
         )
         .groupBy("conv")
         .agg(
-            (F.max("last_turn") - F.min("first_turn") + 1 - F.sum("turns") + F.sum("shared")).alias("gaps"),
+            # In this order nothing on the way is larger than the result.
+            (F.max("last_turn") - F.min("first_turn") - (F.sum("turns") - F.sum("shared") - 1)).alias("gaps"),
             *[F.sum(c).alias(c) for c in ("blank", "duplicate", "truncated")],
             (F.sum("illegal") + F.sum("torn")).alias("illegal"),
         )

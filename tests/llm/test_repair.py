@@ -6,7 +6,9 @@ import zlib
 
 import pytest
 from plain import sha
+from pyspark import cloudpickle
 
+import floodplan
 from floodplan.llm import repair
 
 SCHEMA = "conv_id long, turn long, role string, text string, conv string, key string"
@@ -136,6 +138,36 @@ def test_segments_change_nothing(spark, monkeypatch, size):
     assert reported(spark, rows) == plain(rows)
 
 
+@pytest.mark.parametrize("size", [1, 3, 7])
+def test_costs_of_several_segments(spark, monkeypatch, size):
+    """Workers cut by ``SEGMENT`` too: there the code comes along, as on executors without the package."""
+    registered = floodplan.__name__ in cloudpickle.list_registry_pickle_by_value()
+    cloudpickle.register_pickle_by_value(floodplan)
+    try:
+        monkeypatch.setattr(repair, "SEGMENT", size)
+        rows = some_rows()
+        assert reported(spark, rows) == plain(rows)
+    finally:
+        if not registered:
+            cloudpickle.unregister_pickle_by_value(floodplan)
+
+
+def test_a_conversation_longer_than_a_segment(spark):
+    """Its cost is that of all its rows; every row must go or is repeated, so it is known."""
+    conv = next(k for k in range(100) if zlib.crc32(f"{k}:0".encode()) % 20 > 4)
+    rows = [(conv, 0, "user", "A.", "", "")] * (2 * repair.SEGMENT + 5)
+    found = reported(spark, rows)[conv]
+    assert found[:6] == (0, 0, len(rows) - 1, 0, len(rows) - 1, 2 * len(rows))
+    assert found[6] == "D" * len(rows)
+
+
+def test_large_turns_beside_null(spark):
+    random.seed(8)
+    rows = [(c, (1 << 53) + k if k % 3 else None, "user", f"{k}.", "", "") for c in range(6) for k in range(30)]
+    rows += [(50, turn, "user", "A.", "", "") for turn in (-(1 << 62), (1 << 62) - 1)]
+    assert reported(spark, rows) == plain(rows)
+
+
 def test_one_conversation_in_several_ranges(spark):
     random.seed(4)
     rows = [
