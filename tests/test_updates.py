@@ -76,6 +76,17 @@ def test_enrich_latest_intensity(spark):
     }
 
 
+def test_copies_of_cities_pass_no_driver(spark, capsys):
+    """However small Spark believes the cities to be, their copies are shuffled."""
+    updates = spark.createDataFrame([(1, "a", 5, 5, 0), (2, "b", 6, 6, 1)], UPDATES)
+    cities = spark.range(1, 4).select(F.col("id").alias("city_id"), F.lit("A").alias("name"))
+    enriched = U.enrich_updates(updates, cities)
+    enriched.explain()
+    plan = capsys.readouterr().out
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert {(r["city_id"], r["name"]) for r in enriched.collect()} == {(1, "A"), (2, "A")}
+
+
 def test_features(spark, tmp_path):
     features = [
         '{"properties": {"geoname_id": "1", "name": "a", "population": 500000}, '
