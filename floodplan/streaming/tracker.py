@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Iterator
-from dataclasses import astuple, dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -23,14 +22,11 @@ UPDATES = (
 )
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# A window is cut into this many slots of time, and what leaves it in one slot into
-# chunks of at most so many rows, each one state entry.
-SLOTS = 64
+# Cities are dealt to so many groups; one call and one state entry serve a whole group.
+BUCKETS = 1024
+# What has yet to leave the window lies in chunks of at most so many rows, each one state entry.
 CHUNK_ROWS = 10_000
-# A chunk's key is its slot and, in the lower bits, its number in the slot.
-CHUNK_BITS = 20
-MAX_CHUNK = (1 << CHUNK_BITS) - 1
-PENDING = ("at_ms", "event_id", "refugees")
+PENDING = ("at_ms", "event_id", "refugees", "city_id")
 EVENT_TIME, PROCESSING_TIME = "EventTime", "ProcessingTime"
 
 
@@ -68,47 +64,69 @@ def _column(frames: list[pd.DataFrame], name: str) -> np.ndarray:
 
 
 @dataclass
-class City:
-    """What is known of one city: the content of its value state.
+class Bucket:
+    """What is known of a group of cities: the content of its value state.
 
-    What has yet to leave the window lies in chunks, in order of slot; ``firsts`` has
-    the time at which the first of each chunk leaves.
+    Cities lie in order of id. ``firsts`` has the time at which the first row of each
+    chunk leaves the window.
     """
 
-    name: str = ""
-    refugees: int = 0
-    change: int = 0
-    timer_ms: int = -1
-    chunks: list[int] = field(default_factory=list)
-    firsts: list[int] = field(default_factory=list)
+    city_id: np.ndarray
+    city_name: np.ndarray
+    refugees: np.ndarray
+    change: np.ndarray
+    timer_ms: int
+    chunks: list[int]
+    firsts: list[int]
+
+    @classmethod
+    def of(cls, stored: tuple | None) -> Bucket:
+        ids, names, refugees, change, timer_ms, chunks, firsts = stored or ([], [], [], [], -1, [], [])
+        numbers = [np.array(list(v), "int64") for v in (ids, refugees, change)]
+        return cls(
+            numbers[0], np.array(list(names), object), *numbers[1:], timer_ms, list(chunks), list(firsts)
+        )
+
+    def stored(self) -> tuple:
+        columns = (self.city_id, self.city_name, self.refugees, self.change)
+        return (*[c.tolist() for c in columns], self.timer_ms, self.chunks, self.firsts)
+
+    def place(self, city_id: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.city_id, city_id)
+
+    def add(self, city_id: np.ndarray) -> None:
+        """Cities not known so far start without name and arrivals."""
+        new = np.setdiff1d(city_id, self.city_id)
+        at = self.place(new)
+        self.city_id = np.insert(self.city_id, at, new)
+        self.city_name = np.insert(self.city_name, at, "")
+        self.refugees, self.change = np.insert(self.refugees, at, 0), np.insert(self.change, at, 0)
 
 
 class RefugeeTracker(StatefulProcessor):
     """Per city the total of all arrivals and the sum of those in the trailing window.
 
-    State is a city's name, total and change, and what has yet to leave the window,
-    in slots of time that are cut into chunks of limited size. A batch reads the chunks
-    that fall due in it and rewrites only the last ones of the slots it adds to, so the
-    work of a batch grows with its rows, not with the rows in the window.
+    A key is a city or a group of cities. Its state is every city's name, total and change,
+    and what has yet to leave the window, in order of time in chunks of limited size. A
+    batch reads the chunks in which something may fall due and rewrites what is left of them
+    with what it adds, so its work grows with its rows and the group's cities, not with the
+    rows in the window, and calls to the state store grow with keys, not with cities.
     """
 
     def __init__(self, window_seconds: int, time_mode: str, chunk_rows: int = CHUNK_ROWS):
         self.window_ms = check_window(window_seconds) * 1000
-        self.slot_ms = max(1, self.window_ms // SLOTS)
         self.time_mode = time_mode
         self.chunk_rows = chunk_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.known = handle.getValueState(
-            "city",
-            "city_name string, refugees bigint, change bigint, timer_ms bigint, "
-            "chunks array<bigint>, firsts array<bigint>",
+            "bucket",
+            "city_id array<bigint>, city_name array<string>, refugees array<bigint>, "
+            "change array<bigint>, timer_ms bigint, chunks array<bigint>, firsts array<bigint>",
         )
         self.pending = handle.getMapState(
-            "pending",
-            "chunk bigint",
-            "at_ms array<bigint>, event_id array<bigint>, refugees array<bigint>",
+            "pending", "chunk bigint", ", ".join(f"{name} array<bigint>" for name in PENDING)
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -116,64 +134,74 @@ class RefugeeTracker(StatefulProcessor):
         if not sum(map(len, frames)):
             return
         arrived = np.stack([_column(frames, c).astype("int64") for c in PENDING])
+        now = self._now(timerValues)
         if self.time_mode == PROCESSING_TIME:
-            arrived[0] = timerValues.getCurrentProcessingTimeInMs()
-        city = self._city() or City()
-        until = int(arrived[0].max())
-        if self.time_mode == EVENT_TIME:
-            # What comes after its window has passed leaves at once.
-            until = max(until, timerValues.getCurrentWatermarkInMs())
+            arrived[0] = now
+        bucket = Bucket.of(self.known.get())
+        bucket.add(arrived[3])
+        # What comes after its window has passed leaves at once; an arrival may also leave
+        # again within the same batch.
+        until = np.full(len(bucket.city_id), now, "int64")
+        np.maximum.at(until, bucket.place(arrived[3]), arrived[0])
         leaving = arrived.copy()
         leaving[0] += self.window_ms
-        # An arrival may leave again within the same batch.
-        at_once = leaving[0] <= until
-        due = np.hstack([self._take_due(city, until), leaving[:, at_once]])
-        self._keep(city, leaving[:, ~at_once])
-        yield from self._apply(key, city, due, arrived, _column(frames, "city_name"))
+        due = self._take_due(bucket, leaving, until)
+        yield from self._apply(bucket, due, arrived, _column(frames, "city_name"))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        city = self._city()
-        if city is None:
+        stored = self.known.get()
+        if stored is None:
             return
-        if city.timer_ms == expiredTimerInfo.getExpiryTimeInMs():
-            city.timer_ms = -1
-        if self.time_mode == PROCESSING_TIME:
-            until = timerValues.getCurrentProcessingTimeInMs()
-        else:
-            until = timerValues.getCurrentWatermarkInMs()
-        due = self._take_due(city, until)
-        yield from self._apply(key, city, due, due[:, :0], np.empty(0, object))
+        bucket = Bucket.of(stored)
+        if bucket.timer_ms == expiredTimerInfo.getExpiryTimeInMs():
+            bucket.timer_ms = -1
+        until = np.full(len(bucket.city_id), self._now(timerValues), "int64")
+        none = np.empty((len(PENDING), 0), "int64")
+        due = self._take_due(bucket, none, until)
+        yield from self._apply(bucket, due, none, np.empty(0, object))
 
     def close(self) -> None:
         """Nothing to do: the checkpoint owns the state."""
 
-    def _city(self) -> City | None:
-        stored = self.known.get()
-        return City(*stored[:4], list(stored[4]), list(stored[5])) if stored else None
+    def _now(self, timerValues) -> int:
+        if self.time_mode == PROCESSING_TIME:
+            return timerValues.getCurrentProcessingTimeInMs()
+        return timerValues.getCurrentWatermarkInMs()
 
     def _apply(
-        self, key, city: City, due: np.ndarray, arrived: np.ndarray, names: np.ndarray
+        self, bucket: Bucket, due: np.ndarray, arrived: np.ndarray, names: np.ndarray
     ) -> Iterator[pd.DataFrame]:
-        """Emit one update per move, in order, and store what comes of them."""
+        """Emit one update per move, in order within a city, and store what comes of them."""
         moves = np.hstack([due, arrived])
         arrival = np.repeat([0, 1], [due.shape[1], arrived.shape[1]]).astype("int32")
-        order = np.lexsort((moves[1], arrival, moves[0]))
-        (at_ms, event_id, amount), arrival = moves[:, order], arrival[order]
+        order = np.lexsort((moves[1], arrival, moves[0], moves[3]))
+        (at_ms, event_id, amount, city_id), arrival = moves[:, order], arrival[order]
+        n = len(order)
+        begins = np.flatnonzero(np.diff(city_id, prepend=city_id[:1] - 1))
+        length = np.diff(begins, append=n)
+        place = bucket.place(city_id[begins])
+
+        def running(amount: np.ndarray, before: np.ndarray) -> np.ndarray:
+            """Sums within each city, on from what it had."""
+            total = np.cumsum(amount)
+            return total + np.repeat(before[place] - (total[begins] - amount[begins]), length)
+
+        refugees = running(np.where(arrival == 1, amount, 0), bucket.refugees)
+        change = running(np.where(arrival == 1, amount, -amount), bucket.change)
         # A city goes by the name in its latest arrival, at first the stored one.
-        known = np.concatenate([[city.name], np.full(due.shape[1], None), names])
-        latest = np.maximum.accumulate(np.where(arrival == 1, np.arange(len(order)), -1))
-        named = known[np.where(latest < 0, 0, order[latest] + 1)]
-        refugees = city.refugees + np.cumsum(np.where(arrival == 1, amount, 0))
-        change = city.change + np.cumsum(np.where(arrival == 1, amount, -amount))
-        if len(order):
-            city.name = named[-1]
-            city.refugees, city.change = int(refugees[-1]), int(change[-1])
-        self._set_timer(city)
-        self.known.update(astuple(city))
-        if len(order):
+        told = np.concatenate([np.full(due.shape[1], None, object), names])[order]
+        latest = np.maximum.accumulate(np.where(arrival == 1, np.arange(n), -1))
+        stored = np.repeat(bucket.city_name[place], length)
+        named = np.where(latest < np.repeat(begins, length), stored, told[latest])
+        ends = begins + length - 1
+        bucket.city_name[place] = named[ends]
+        bucket.refugees[place], bucket.change[place] = refugees[ends], change[ends]
+        self._set_timer(bucket)
+        self.known.update(bucket.stored())
+        if n:
             yield pd.DataFrame(
                 {
-                    "city_id": np.full(len(order), key[0], "int64"),
+                    "city_id": city_id,
                     "city_name": named,
                     "at_ms": at_ms,
                     "arrival": arrival,
@@ -183,58 +211,35 @@ class RefugeeTracker(StatefulProcessor):
                 }
             )
 
-    def _read(self, chunk: int) -> np.ndarray:
-        return np.array(self.pending.getValue((chunk,)), "int64")
-
-    def _write(self, city: City, chunk: int, rows: np.ndarray) -> None:
-        self.pending.updateValue((chunk,), tuple(rows.tolist()))
-        place = bisect.bisect_left(city.chunks, chunk)
-        city.chunks.insert(place, chunk)
-        city.firsts.insert(place, int(rows[0].min()))
-
-    def _keep(self, city: City, leaving: np.ndarray) -> None:
-        """Add to the slots what has yet to leave: fill the last chunk, then open more."""
-        slots = leaving[0] // self.slot_ms
-        for slot in np.unique(slots).tolist():
-            rows = leaving[:, slots == slot]
-            chunk = slot << CHUNK_BITS
-            after = bisect.bisect_left(city.chunks, (slot + 1) << CHUNK_BITS)
-            if after and city.chunks[after - 1] >= chunk:
-                chunk = city.chunks.pop(after - 1)
-                city.firsts.pop(after - 1)
-                rows = np.hstack([self._read(chunk), rows])
-            chunks = -(-rows.shape[1] // self.chunk_rows)
-            if (chunk & MAX_CHUNK) + chunks > MAX_CHUNK:
-                raise ValueError(f"more than {MAX_CHUNK} chunks leave in one slot; track in ranges")
-            for start in range(0, rows.shape[1], self.chunk_rows):
-                self._write(city, chunk, rows[:, start : start + self.chunk_rows])
-                chunk += 1
-
-    def _take_due(self, city: City, until: int) -> np.ndarray:
-        """Remove and return what leaves the window up to a time."""
-        taken = [np.empty((len(PENDING), 0), "int64")]
-        for chunk in [c for c, first in zip(city.chunks, city.firsts) if first <= until]:
-            rows = self._read(chunk)
-            due = rows[0] <= until
-            taken.append(rows[:, due])
-            place = city.chunks.index(chunk)
-            city.chunks.pop(place)
-            city.firsts.pop(place)
-            if due.all():
-                self.pending.removeKey((chunk,))
-            else:
-                self._write(city, chunk, rows[:, ~due])
-        return np.hstack(taken)
-
-    def _set_timer(self, city: City) -> None:
-        """Keep one timer per city, for the first that has yet to leave."""
-        first = min(city.firsts, default=-1)
-        if first != city.timer_ms:
-            if city.timer_ms >= 0:
-                self.handle.deleteTimer(city.timer_ms)
+    def _take_due(self, bucket: Bucket, leaving: np.ndarray, until: np.ndarray) -> np.ndarray:
+        """Of ``leaving`` and the chunks, what leaves up to its city's time; the rest is kept."""
+        reach = int(until.max(initial=0))
+        read = [c for c, first in zip(bucket.chunks, bucket.firsts) if first <= reach]
+        rows = np.hstack([leaving, *[np.array(self.pending.getValue((c,)), "int64") for c in read]])
+        for chunk in read:
+            self.pending.removeKey((chunk,))
+        kept = [(c, first) for c, first in zip(bucket.chunks, bucket.firsts) if first > reach]
+        due = rows[0] <= until[bucket.place(rows[3])]
+        rest = rows[:, ~due]
+        rest = rest[:, np.argsort(rest[0], kind="stable")]
+        number = max(bucket.chunks, default=0)
+        for start in range(0, rest.shape[1], self.chunk_rows):
+            number += 1
+            chunk = rest[:, start : start + self.chunk_rows]
+            self.pending.updateValue((number,), tuple(chunk.tolist()))
+            kept.append((number, int(chunk[0, 0])))
+        bucket.chunks, bucket.firsts = [c for c, _ in kept], [first for _, first in kept]
+        return rows[:, due]
+
+    def _set_timer(self, bucket: Bucket) -> None:
+        """Keep one timer per key, for the first row that has yet to leave."""
+        first = min(bucket.firsts, default=-1)
+        if first != bucket.timer_ms:
+            if bucket.timer_ms >= 0:
+                self.handle.deleteTimer(bucket.timer_ms)
             if first >= 0:
                 self.handle.registerTimer(first)
-            city.timer_ms = first
+            bucket.timer_ms = first
 
 
 def track_refugees(
@@ -242,6 +247,7 @@ def track_refugees(
     window_seconds: int,
     time_mode: str = EVENT_TIME,
     watermark: str = "1 millisecond",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """One update per arrival, and one more when it leaves the window.
 
@@ -253,7 +259,9 @@ def track_refugees(
     time updates follow the clock; keep the trigger well below the window.
 
     The arrivals of one city are one sequence, so a batch's rows of a city meet in one
-    task; the source's limit per trigger bounds them, and they are summed as arrays.
+    task; the source's limit per trigger bounds them, and they are summed as arrays. Cities
+    are dealt to ``buckets`` groups, which a checkpoint keeps for good: a batch costs a few
+    calls to the state store for each group, however many cities it has.
     """
     check_window(window_seconds)
     if time_mode not in (EVENT_TIME, PROCESSING_TIME):
@@ -271,7 +279,8 @@ def track_refugees(
         keyed = keyed.withWatermark("ts", watermark)
     else:
         keyed = keyed.withColumn("clock", F.lit(False))
-    return keyed.groupBy("city_id").transformWithStateInPandas(
+    keyed = keyed.withColumn("bucket", F.pmod(F.xxhash64("city_id"), F.lit(buckets)).cast("int"))
+    return keyed.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=RefugeeTracker(window_seconds, time_mode),
         outputStructType=UPDATES,
         outputMode="Append",

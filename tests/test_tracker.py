@@ -1,5 +1,6 @@
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -263,3 +264,74 @@ def test_bad_arguments(spark):
         track_refugees(stream, 0)
     with pytest.raises(ValueError):
         track_refugees(stream, 5, "x")
+
+
+class Told:
+    """The state and the clock of one key, counting calls."""
+
+    def __init__(self):
+        self.value, self.chunks, self.calls = None, {}, 0
+
+    def getValueState(self, *_):
+        return self
+
+    getMapState = getValueState
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.chunks[key]
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.chunks[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self.chunks[key]
+
+    def registerTimer(self, _):
+        self.calls += 1
+
+    deleteTimer = registerTimer
+
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+@pytest.mark.parametrize("chunk_rows", [7, 10_000])
+def test_calls_to_the_store_do_not_grow_with_cities(chunk_rows):
+    """A group of 300 cities, three arrivals each, in two batches."""
+    rows = [(i, START + i / 10, i % 300, i % 7) for i in range(900)]
+    state, tracker, told = Told(), RefugeeTracker(30, EVENT_TIME, chunk_rows), set()
+    tracker.init(state)
+    for part in (rows[:400], rows[400:]):
+        frame = pd.DataFrame(
+            [(False, int(s * 1000), c, f"City {c}.{e}", n, e) for e, s, c, n in part],
+            columns=["clock", "at_ms", "city_id", "city_name", "refugees", "event_id"],
+        )
+        for found in tracker.handleInputRows((0,), iter([frame]), state):
+            told |= set(found[[c.split()[0] for c in UPDATES.split(", ")]].itertuples(index=False, name=None))
+    last = {c: int(s * 1000) for _, s, c, _ in rows}
+    assert told == {u for u in replay(rows, 30) if u[2] <= last[u[0]]}
+    assert state.calls < (40 if chunk_rows > 900 else 400)
+
+
+def test_many_cities_in_a_group(spark, tmp_path):
+    """Groups of some cities, in batches and with a restart, equal one replay."""
+    rows = [(i, START + i / 4, i % 50, i % 7) for i in range(400)]
+    for bounds in ([0, START + 40, START + 60], [START + 60, START + 70, START + 1000]):
+        write_slices(spark, rows, bounds, f"{tmp_path}/in")
+        stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in")
+        writer = track_refugees(stream, 30, buckets=3).writeStream.format("parquet")
+        writer = writer.option("path", f"{tmp_path}/out")
+        writer = writer.option("checkpointLocation", f"{tmp_path}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    assert as_set(spark.read.parquet(f"{tmp_path}/out")) == emitted(rows, 30)
