@@ -131,6 +131,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text_features, page_features, quality, held), a settled table.
 
     ``quality`` is the mean of a document's labels, null without one or if they are even.
+    Labels grow with the documents, so both are shuffled whatever their size.
     """
     mean = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("quality").alias("mean"))
     known = mean.select(
@@ -140,7 +141,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     seen = docs.select("doc_id", _text_features("text").alias("text_features"), page_features().alias("page_features"))
     held = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0
     return settle(
-        seen.join(known, F.col("doc_id") == F.col("label_id"), "left").select(
+        seen.join(known.hint("merge"), F.col("doc_id") == F.col("label_id"), "left").select(
             "doc_id", "text_features", "page_features", "quality", held.alias("held")
         )
     )

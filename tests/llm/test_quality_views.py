@@ -61,3 +61,13 @@ def test_odd_rows(spark):
     assert len(found) == 4 and {round(r.score, 9) for r in found} == {0.5}
     assert quality.keep_good(docs, labels).columns == docs.columns
     assert quality.keep_good(docs.limit(0), labels).count() == 0
+
+
+def test_labels_are_not_broadcast(spark, monkeypatch, capsys):
+    """They grow with the documents: few are joined as many are."""
+    monkeypatch.setattr(quality, "settle", lambda df: df)
+    docs = spark.createDataFrame([(1, "a b", "en", "s")], "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    quality.labelled(docs, labels).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
