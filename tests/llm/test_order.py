@@ -51,3 +51,34 @@ def test_reading_goes_on_in_the_middle_of_a_shard(spark, table, tmp_path):
     for slot in (0, SHARD + 5, len(want) - 1):
         back = binary.read_from(spark, str(tmp_path / "shards"), slot, LENGTH, SHARD).collect()
         assert {r.slot: bytes(r.record) for r in back} == {s: r for s, (_, _, r) in want.items() if s >= slot}
+
+
+SPACED = [" ", "  ", "\n", "\n\n", "\t ", "\r\n", "\x0b", "\x1c", "\x1f ", "\x85", "\xa0", "\u1680", "\u2003", "\u2028"]
+SPACED += ["\u202f", "\u205f ", "\u200b", "\u3000", "\ufeff ", "\xad", "\u180e", "\x00", "a", "word", "it's", "'ll", "7"]
+SPACED += ["\u65e5\u672c", "\xe9", "e\u0301", "\u0663", "!", "...", "\U0001f600", "_"]
+
+
+def test_ids_are_those_of_the_whole_text():
+    encode, tokens = binary._encoding(vocabulary(RANKS)).encode_ordinary, binary.Tokens(vocabulary(RANKS))
+    draw = np.random.default_rng(5)
+    texts = ["".join(draw.choice(SPACED, draw.integers(1, 12))) for _ in range(4000)]
+    texts += [chr(c).join(["a", " b", "c ", "\n", "d", ""]) for c in range(0x3100)]
+    for text in texts:
+        assert np.frombuffer(tokens.of(text), np.uint16).tolist() == encode(text), repr(text)
+
+
+def test_words_take_no_call_each():
+    tokens, calls = binary.Tokens(vocabulary(RANKS)), []
+    encode = tokens.encode
+    tokens.encode = lambda part: calls.append(part) or encode(part)
+    text = " ".join(f"word{n}" for n in range(1000))
+    assert np.frombuffer(tokens.of(text), np.uint16).tolist() == encode(text)
+    assert len(calls) == 1
+    tokens.of(text + "\n\n" + text)
+    assert len(calls) == 3
+
+
+def test_long_run_of_spaces():
+    text = " " * 1_500_000 + "a"
+    ids = np.frombuffer(binary.Tokens(vocabulary(RANKS)).of(text), np.uint16)
+    assert binary._encoding(vocabulary(RANKS)).decode(ids.tolist()) == text
